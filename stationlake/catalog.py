@@ -9,15 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-
 from stationlake.operators import control, firsts, quality
-from stationlake.operators.ingest import (
-    INFO,
-    STATUS,
-    dead_letters,
-    pick_rows,
-    project,
-)
+from stationlake.operators.ingest import INFO, STATUS, bronze_rows, dead_letters
 from stationlake.plans import gold, gold_sql, silver, silver_sql
 from stationlake.plans.pipeline import Lake, load_batch
 from stationlake.session import fresh_dir
@@ -47,11 +40,11 @@ def _parsed(spark, sf_dir):
 
 
 def _bronze_status(spark, sf_dir):
-    return pick_rows(project(derived_feed(spark, sf_dir), STATUS), STATUS)
+    return bronze_rows(derived_feed(spark, sf_dir), STATUS)
 
 
 def _bronze_info(spark, sf_dir):
-    return pick_rows(project(derived_feed(spark, sf_dir), INFO), INFO)
+    return bronze_rows(derived_feed(spark, sf_dir), INFO)
 
 
 def _valid_info(spark, sf_dir):

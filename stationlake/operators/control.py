@@ -6,7 +6,7 @@ import hashlib
 import time
 from collections.abc import Mapping
 from contextlib import contextmanager
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,23 +28,38 @@ def seed_watermark(spark: SparkSession) -> DataFrame:
 
 
 def refresh_watermark(
-    control: DataFrame, tables: Mapping[str, DataFrame], epoch_unit: str = "s"
+    control: DataFrame,
+    tables: Mapping[str, DataFrame],
+    epoch_unit: str = "s",
+    since: date | None = None,
 ) -> DataFrame:
     """Set each source's total row count, and its newest report time where the
-    table has one. Sources without a table here keep their values."""
+    table has one. Sources without a table here keep their values.
+
+    The count needs file footers only. ``since``, the date of the last mark,
+    spares the scan of older partitions for the newest time; a mark never goes
+    back.
+    """
     found = None
     for name, table in tables.items():
-        newest = F.lit(None).cast("timestamp_ntz")
+        counted = table.agg(
+            F.count(F.lit(1)).alias("n"), F.lit(None).cast("timestamp_ntz").alias("newest")
+        )
         if "station_status_last_reported" in table.columns:
+            recent = _from_date(table, since) if since else table
             newest = epoch_to_ts(F.max("station_status_last_reported"), epoch_unit)
-        counted = table.agg(F.count(F.lit(1)).alias("n"), newest.alias("newest")).select(
-            F.lit(name).alias("source_name"), "n", "newest"
-        )
+            counted = counted.unionByName(
+                recent.agg(F.lit(None).cast("bigint").alias("n"), newest.alias("newest"))
+            )
+        counted = counted.withColumn("source_name", F.lit(name))
         found = counted if found is None else found.unionByName(counted)
+    found = found.groupBy("source_name").agg(
+        F.max("n").alias("n"), F.max("newest").alias("newest")
+    )
     return control.join(found, "source_name", "left").select(
         "source_name",
         "last_station_id",
-        F.coalesce("newest", "last_reported_ts").alias("last_reported_ts"),
+        F.greatest("newest", "last_reported_ts").alias("last_reported_ts"),
         F.coalesce("n", "rows_loaded").alias("rows_loaded"),
         F.when(F.col("n").isNotNull(), F.current_timestamp())
         .otherwise(F.col("last_load_ts"))
@@ -52,11 +67,24 @@ def refresh_watermark(
     )
 
 
-def store_watermark(spark: SparkSession, path: str, tables: Mapping[str, DataFrame]) -> str:
-    control = layers.read_current(spark, path, schemas.WATERMARK)
-    if layers.current_version(spark, path) is None:
-        control = seed_watermark(spark)
-    return layers.write_version(refresh_watermark(control, tables).coalesce(1), path)
+def store_watermark(
+    spark: SparkSession, path: str, tables: Mapping[str, DataFrame], epoch_unit: str = "s"
+) -> str:
+    control = seed_watermark(spark)
+    since = None
+    if layers.current_version(spark, path):
+        control = layers.read_current(spark, path, schemas.WATERMARK)
+        mark = control.agg(F.max("last_reported_ts")).first()[0]
+        since = mark.date() if mark else None
+    fresh = refresh_watermark(control, tables, epoch_unit, since)
+    return layers.write_version(fresh.coalesce(1), path)
+
+
+def _from_date(bronze_status: DataFrame, day: date) -> DataFrame:
+    """Partitions from a date on, plus the one of rows without a date."""
+    return bronze_status.filter(
+        (F.col("event_date") >= F.lit(day)) | F.col("event_date").isNull()
+    )
 
 
 def above_mark(bronze_status: DataFrame, mark: datetime | None, epoch_unit: str = "s") -> DataFrame:
@@ -70,9 +98,7 @@ def above_mark(bronze_status: DataFrame, mark: datetime | None, epoch_unit: str
     if mark is None:
         return bronze_status
     seconds = int(mark.replace(tzinfo=timezone.utc).timestamp())
-    return bronze_status.filter(
-        (F.col("event_date") >= F.lit(mark.date())) | F.col("event_date").isNull()
-    ).filter(
+    return _from_date(bronze_status, mark.date()).filter(
         whole_seconds(F.col("station_status_last_reported"), epoch_unit) > seconds
     )
 

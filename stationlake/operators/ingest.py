@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,10 @@ from stationlake.sources import layers
 MODES = ("batch", "stream")
 ON_BAD = ("fail", "null", "quarantine")
 
+# A message's rows are numbered below this many bits of their arrival position,
+# its offset above: one BIGINT that orders rows within a topic partition.
+ROW_BITS = 22
+
 # Provenance a source may lack; missing ones are filled with NULL.
 _PROVENANCE = {
     "source_file": "string",
@@ -90,23 +96,41 @@ def wanted(landing: Landing, mode: str = "batch") -> Column:
     )
 
 
-def _bad(c: str, landing: Landing, mode: str) -> tuple[Column, Column]:
-    """Whether a column's text does not fit its type, and what to say then."""
-    text, kind = _text(c, landing, mode), landing.casts[c]
-    return (
-        text.isNotNull() & text.try_cast(kind).isNull(),
-        F.concat(F.lit(f"{c} is not {kind}: "), text),
-    )
+def _unfit(c: str, landing: Landing, mode: str) -> Column:
+    """Does a column hold text that does not fit its type?"""
+    text = _text(c, landing, mode)
+    return text.isNotNull() & text.try_cast(landing.casts[c]).isNull()
+
+
+def any_unfit(landing: Landing, mode: str = "batch") -> Column:
+    return reduce(or_, (_unfit(c, landing, mode) for c in landing.casts))
+
+
+def _complaint(c: str, landing: Landing, mode: str) -> Column:
+    return F.concat(F.lit(f"{c} is not {landing.casts[c]}: "), _text(c, landing, mode))
 
 
 def cast_errors(landing: Landing, mode: str = "batch") -> Column:
-    """All cast failures of a row as one text; NULL when there are none."""
-    errors = [F.when(*_bad(c, landing, mode)) for c in landing.casts]
-    return F.nullif(F.concat_ws("; ", *errors), F.lit(""))
+    """All cast failures of a row as one text, empty when there are none."""
+    return F.concat_ws(
+        "; ",
+        *(F.when(_unfit(c, landing, mode), _complaint(c, landing, mode)) for c in landing.casts),
+    )
+
+
+def event_id() -> Column:
+    """A hash of a message row's place in its topic."""
+    pos = F.col("arrival_pos").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return F.sha2(
+        F.concat_ws("|", "kafka_topic", "kafka_partition", "kafka_offset", pos.cast("string")), 256
+    )
 
 
 def _with_provenance(rows: DataFrame) -> DataFrame:
+    """Fill in the provenance a source lacks; rows of messages get their event."""
     missing = {c: F.lit(None).cast(t) for c, t in _PROVENANCE.items() if c not in rows.columns}
+    if "event_id" in missing and "kafka_offset" in rows.columns:
+        missing["event_id"] = event_id()
     return rows.withColumns(missing) if missing else rows
 
 
@@ -115,12 +139,12 @@ def project(
     landing: Landing,
     mode: str = "batch",
     on_bad: str = "quarantine",
-    epoch_unit: str = "s",
 ) -> DataFrame:
     """Select a table's rows and columns from raw rows and type them.
 
-    Adds ``cast_errors``, filled under ``quarantine`` only; ``fail`` raises on
-    the first bad value and ``null`` blanks it.
+    Rows with a value that does not fit its type are left to the dead letters
+    under ``quarantine``; ``fail`` raises on the first and ``null`` blanks the
+    value.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -132,41 +156,51 @@ def project(
             return F.col(c)
         value = _text(c, landing, mode).try_cast(landing.casts[c])
         if on_bad == "fail":
-            bad, message = _bad(c, landing, mode)
-            value = F.when(bad, F.raise_error(message).cast(landing.casts[c])).otherwise(value)
+            complaint = F.raise_error(_complaint(c, landing, mode)).cast(landing.casts[c])
+            value = F.when(_unfit(c, landing, mode), complaint).otherwise(value)
         return value.alias(c)
 
-    errors = cast_errors(landing, mode) if on_bad == "quarantine" else F.lit(None).cast("string")
-    out = (
-        _with_provenance(rows)
-        .filter(wanted(landing, mode))
-        .select(
-            *(typed(c) for c in landing.columns),
-            F.current_timestamp().alias("ingested_at"),
-            *_PROVENANCE,
-            F.lit(mode).alias("source_mode"),
-            *schemas.ARRIVAL,
-            errors.alias("cast_errors"),
-        )
-    )
-    if landing.partition_by:
-        out = out.withColumn(
-            landing.partition_by, epoch_to_date(F.col("station_status_last_reported"), epoch_unit)
-        )
+    chosen = rows.filter(wanted(landing, mode))
+    if on_bad == "quarantine":
+        chosen = chosen.filter(~any_unfit(landing, mode))
+    carried = [c for c in _PROVENANCE if c in rows.columns]
+    out = chosen.select(*(typed(c) for c in landing.columns), *carried, *schemas.ARRIVAL)
     if on_bad == "null":
         # A key that fails its cast is an absent key.
         out = out.filter(all_present(*landing.keys))
     return out
 
 
-def good_rows(projected: DataFrame) -> DataFrame:
-    return projected.filter(F.col("cast_errors").isNull())
-
-
 def pick_rows(projected: DataFrame, landing: Landing, keep: str = "first") -> DataFrame:
-    """One row per key out of the rows whose casts succeeded."""
+    """One row per key, the first or the last to arrive."""
     pick = {"first": first_wins, "last": last_wins}[keep]
-    return pick(good_rows(projected), landing.keys)
+    return pick(projected, landing.keys)
+
+
+def complete(
+    picked: DataFrame, landing: Landing, mode: str = "batch", epoch_unit: str = "s"
+) -> DataFrame:
+    """Add what a row needs only once it is picked, so that none of it travels
+    through the pick's shuffle: constants, event ids, the partition date."""
+    added = {"ingested_at": F.current_timestamp(), "source_mode": F.lit(mode)}
+    if landing.partition_by:
+        added[landing.partition_by] = epoch_to_date(
+            F.col("station_status_last_reported"), epoch_unit
+        )
+    return _with_provenance(picked).withColumns(added)
+
+
+def bronze_rows(
+    rows: DataFrame,
+    landing: Landing,
+    mode: str = "batch",
+    on_bad: str = "quarantine",
+    keep: str = "first",
+    epoch_unit: str = "s",
+) -> DataFrame:
+    """What a bronze table holds after loading the given raw rows alone."""
+    picked = pick_rows(project(rows, landing, mode, on_bad), landing, keep)
+    return complete(picked, landing, mode, epoch_unit)
 
 
 def dead_letters(
@@ -178,15 +212,15 @@ def dead_letters(
 
     One scan: a row that fails for both tables is exploded into two letters.
     """
+    landings = list(landings)
+    failing = [wanted(t, mode) & any_unfit(t, mode) for t in landings]
     reasons = [
-        F.when(
-            wanted(landing, mode),
-            F.concat(F.lit(f"{landing.name}: "), cast_errors(landing, mode)),
-        )
-        for landing in landings
+        F.when(test, F.concat(F.lit(f"{t.name}: "), cast_errors(t, mode)))
+        for test, t in zip(failing, landings)
     ]
     bad = (
         _with_provenance(rows)
+        .filter(reduce(or_, failing))
         .withColumn("error_message", F.explode(F.array_compact(F.array(*reasons))))
         .withColumn("raw_payload", raw_payload())
     )
@@ -228,12 +262,12 @@ def land(
     ``rows`` is read twice when the table already has data (touched dates, then
     the rows), so pass a stored or persisted frame.
     """
-    projected = project(rows, landing, mode, on_bad, epoch_unit)
     batch = None
     if landing.partition_by and layers.exists(rows.sparkSession, target):
-        batch = touched_dates(good_rows(projected), landing.partition_by)
+        dated = complete(project(rows, landing, mode, on_bad), landing, mode, epoch_unit)
+        batch = touched_dates(dated, landing.partition_by)
     return insert_ignore(
-        pick_rows(projected, landing),
+        bronze_rows(rows, landing, mode, on_bad, "first", epoch_unit),
         target,
         landing.schema,
         landing.keys,

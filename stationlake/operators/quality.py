@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.operators.ingest import STATUS, Landing, cast_errors, wanted
+from stationlake.operators.ingest import STATUS, Landing, any_unfit, wanted
 
 Rules = Mapping[str, Column]
 
@@ -83,7 +83,7 @@ def quality_metrics(
     keyless = F.col("station_id").isNull()
     if not landing.info_only:
         keyless = keyless | F.col("station_status_last_reported").isNull()
-    bad = relevant & cast_errors(landing, mode).isNotNull()
+    bad = relevant & any_unfit(landing, mode)
     before = raw.agg(
         F.count(F.lit(1)).alias("row_count"),
         _count(keyless).alias("null_key_count"),

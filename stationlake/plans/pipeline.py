@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,6 +165,14 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict[str, str]:
     return {"bronze": bronze, "silver_status": fact, "silver_dimension": dimension, **views}
 
 
+def side_by_side(jobs: dict[str, Callable]) -> dict:
+    """Run independent jobs at once, so that one fills the cores another's last
+    tasks leave idle; each writes a table of its own."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
 def load_batch(
     spark: SparkSession,
     paths: str | list[str],
@@ -178,14 +189,14 @@ def load_batch(
     feed = read_feed_csv(spark, paths, BULK_NULLS, max_files)
     layers.write_layer(feed, lake.stage, force=True)
     stage = layers.read_layer(spark, lake.stage, schemas.RAW_LAYER)
-    loaded = {
-        "status": land(stage, STATUS, lake.status, "batch", on_bad, epoch_unit),
-        "info": land(stage, INFO, lake.info, "batch", on_bad, epoch_unit),
+    jobs = {
+        "status": lambda: land(stage, STATUS, lake.status, "batch", on_bad, epoch_unit),
+        "info": lambda: land(stage, INFO, lake.info, "batch", on_bad, epoch_unit),
     }
     if on_bad == "quarantine":
-        letters = dead_letters(stage)
-        loaded["dead_letters"] = 0 if letters.isEmpty() else land_dead_letters(letters, lake.dlq)
-    control.store_watermark(spark, lake.watermark, bronze_tables(spark, lake))
+        jobs["dead_letters"] = lambda: land_dead_letters(dead_letters(stage), lake.dlq)
+    loaded = side_by_side(jobs)
+    control.store_watermark(spark, lake.watermark, bronze_tables(spark, lake), epoch_unit)
     return loaded
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from stationlake import schemas
 from stationlake.functions.predicates import has_info_strict
 from stationlake.functions.scalars import PRODUCER_NULLS, normalize_nulls
+from stationlake.operators.ingest import ROW_BITS
 
 TOPIC_STATUS = "station-status"
 TOPIC_INFO = "station-info"
@@ -20,10 +21,6 @@ TOPIC_INFO = "station-info"
 # Fixed value: rows per message.
 ROWS_PER_MESSAGE = 2000
 
-# A message's rows are numbered below this, its offset above: one BIGINT that
-# orders rows within a topic partition.
-_ROW_BITS = 22
-
 _ROWS = T.ArrayType(schemas.RAW)
 
 
@@ -85,8 +82,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
 
     Unknown fields are dropped and numbers become text, both by the declared
     row schema. A message that is no JSON array of rows gives one row of NULLs
-    with its text in ``malformed``; an empty array gives none. ``event_id`` is
-    a hash of the row's place in the topic.
+    with its text in ``malformed``; an empty array gives none.
     """
     text = F.col("value").cast("string")
     parsed = messages.select(
@@ -103,12 +99,11 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return exploded.select(
         "data.*",
         "malformed",
-        F.sha2(F.concat_ws("|", "topic", "partition", "offset", "pos"), 256).alias("event_id"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.lpad(F.col("partition").cast("string"), 10, "0").alias("arrival_source"),
-        (F.shiftleft("offset", _ROW_BITS) + pos).alias("arrival_pos"),
+        (F.shiftleft("offset", ROW_BITS) + pos).alias("arrival_pos"),
     )
 
 

@@ -20,6 +20,7 @@ from stationlake.operators.ingest import (
     Landing,
     as_dead_letters,
     dead_letters,
+    event_id,
     land,
     land_dead_letters,
 )
@@ -32,6 +33,7 @@ def malformed_letters(decoded: DataFrame) -> DataFrame:
     return as_dead_letters(
         bad.withColumns(
             {
+                "event_id": event_id(),
                 "error_message": F.lit("message is not a JSON array of rows"),
                 "raw_payload": F.col("malformed"),
             }
