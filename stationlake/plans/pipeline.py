@@ -165,11 +165,12 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict[str, str]:
     return {"bronze": bronze, "silver_status": fact, "silver_dimension": dimension, **views}
 
 
-def side_by_side(jobs: dict[str, Callable]) -> dict:
+def side_by_side(spark: SparkSession, jobs: dict[str, Callable]) -> dict:
     """Run independent jobs at once, so that one fills the cores another's last
     tasks leave idle; each writes a table of its own."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        started = {name: pool.submit(inheritable_thread_target(job)) for name, job in jobs.items()}
+        target = inheritable_thread_target(spark)
+        started = {name: pool.submit(target(job)) for name, job in jobs.items()}
         return {name: future.result() for name, future in started.items()}
 
 
@@ -195,7 +196,7 @@ def load_batch(
     }
     if on_bad == "quarantine":
         jobs["dead_letters"] = lambda: land_dead_letters(dead_letters(stage), lake.dlq)
-    loaded = side_by_side(jobs)
+    loaded = side_by_side(spark, jobs)
     control.store_watermark(spark, lake.watermark, bronze_tables(spark, lake), epoch_unit)
     return loaded
 
