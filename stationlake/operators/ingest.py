@@ -18,6 +18,8 @@ from stationlake.operators.firsts import first_wins, last_wins
 from stationlake.operators.insert import insert_ignore, touched_dates
 from stationlake.sources import layers
 
+MALFORMED = "message is not a JSON array of rows"
+
 MODES = ("batch", "stream")
 ON_BAD = ("fail", "null", "quarantine")
 
@@ -219,14 +221,39 @@ def dead_letters(
         for test, t in zip(failing, landings)
     ]
     bad = (
-        _with_provenance(rows)
-        .filter(reduce(or_, failing))
+        rows.filter(reduce(or_, failing))
         .withColumn("error_message", F.explode(F.array_compact(F.array(*reasons))))
         .withColumn("raw_payload", raw_payload())
     )
     return as_dead_letters(bad)
 
 
+def sort_messages(decoded: DataFrame, landing: Landing) -> DataFrame:
+    """Decoded messages as typed rows, each with why it cannot land, if so.
+
+    ``error_message`` and ``raw_payload`` are filled for malformed messages and
+    for rows that fail a cast, NULL otherwise. One pass decides it all, and what
+    is kept is typed and narrow.
+    """
+    malformed = F.col("malformed").isNotNull()
+    unfit = any_unfit(landing, "stream")
+    complaint = F.concat(F.lit(f"{landing.name}: "), cast_errors(landing, "stream"))
+    return decoded.filter(malformed | wanted(landing, "stream")).select(
+        *(
+            _text(c, landing, "stream").try_cast(landing.casts[c]).alias(c)
+            if c in landing.casts
+            else F.col(c)
+            for c in landing.columns
+        ),
+        *(c for c in _PROVENANCE if c in decoded.columns),
+        *schemas.ARRIVAL,
+        F.when(malformed, F.lit(MALFORMED))
+        .when(unfit, complaint)
+        .alias("error_message"),
+        F.when(malformed, F.col("malformed")).when(unfit, raw_payload()).alias("raw_payload"),
+    )
+
+
 def as_dead_letters(bad: DataFrame) -> DataFrame:
     """Give dead letters their key: the event where there is one, else content
     and place. A rerun of the same input then adds nothing."""
@@ -237,7 +264,7 @@ def as_dead_letters(bad: DataFrame) -> DataFrame:
         "error_message",
         F.coalesce("raw_payload", F.lit("")),
     )
-    return bad.select(
+    return _with_provenance(bad).select(
         F.sha2(F.coalesce(F.concat(F.lit("event|"), "event_id"), place), 256).alias("dlq_id"),
         "event_id",
         F.col("kafka_topic").alias("source_topic"),
@@ -257,17 +284,21 @@ def land(
     on_bad: str = "quarantine",
     epoch_unit: str = "s",
 ) -> int:
-    """Insert the new keys among raw rows into a bronze table; return how many.
+    """Insert the new keys among raw rows into a bronze table; return how many."""
+    return land_projected(project(rows, landing, mode, on_bad), landing, target, mode, epoch_unit)
 
-    ``rows`` is read twice when the table already has data (touched dates, then
-    the rows), so pass a stored or persisted frame.
-    """
+
+def land_projected(
+    projected: DataFrame, landing: Landing, target: str, mode: str, epoch_unit: str = "s"
+) -> int:
+    """As ``land``, for rows typed already. They are read twice when the table
+    has data (touched dates, then the rows), so pass stored or persisted ones."""
     batch = None
-    if landing.partition_by and layers.exists(rows.sparkSession, target):
-        dated = complete(project(rows, landing, mode, on_bad), landing, mode, epoch_unit)
+    if landing.partition_by and layers.exists(projected.sparkSession, target):
+        dated = complete(projected, landing, mode, epoch_unit)
         batch = touched_dates(dated, landing.partition_by)
     return insert_ignore(
-        bronze_rows(rows, landing, mode, on_bad, "first", epoch_unit),
+        complete(pick_rows(projected, landing), landing, mode, epoch_unit),
         target,
         landing.schema,
         landing.keys,

@@ -16,60 +16,58 @@ from pyspark.sql.streaming import StreamingQuery
 from stationlake import schemas
 from stationlake.operators.ingest import (
     INFO,
+    MALFORMED,
     STATUS,
     Landing,
     as_dead_letters,
-    dead_letters,
-    event_id,
-    land,
     land_dead_letters,
+    land_projected,
+    project,
+    sort_messages,
 )
 from stationlake.functions.scalars import FEED_NULLS, normalize_nulls
 from stationlake.sources.messages import decode_messages
 
 
-def malformed_letters(decoded: DataFrame) -> DataFrame:
-    bad = decoded.filter(F.col("malformed").isNotNull())
-    return as_dead_letters(
-        bad.withColumns(
-            {
-                "event_id": event_id(),
-                "error_message": F.lit("message is not a JSON array of rows"),
-                "raw_payload": F.col("malformed"),
-            }
-        )
-    )
-
-
 def land_messages(
     messages: DataFrame,
     landing: Landing,
     target: str,
-    dlq: str | None = None,
+    dlq: str,
     on_bad: str = "quarantine",
     epoch_unit: str = "s",
 ) -> int:
     """Land one batch of messages in a bronze table and the dead letters.
 
-    The decoded rows are read up to three times, so they are kept in memory or
-    on the executors' disks for the time of the batch; lost blocks are decoded
-    again from the source.
+    Rows are decoded and typed once and kept in memory or on the executors'
+    disks for the time of the batch; lost blocks are decoded again from the
+    source.
     """
-    if on_bad == "quarantine" and dlq is None:
-        raise ValueError("quarantine needs a dead-letter path")
-    decoded = decode_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = decode_messages(messages)
+    if on_bad == "quarantine":
+        ready = sort_messages(decoded, landing)
+    else:
+        # Only whole messages can be bad then; their rows have no key.
+        ready = decoded.withColumns(
+            {
+                "error_message": F.when(F.col("malformed").isNotNull(), F.lit(MALFORMED)),
+                "raw_payload": F.col("malformed"),
+            }
+        )
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = decoded.filter(F.col("malformed").isNull())
-        landed = land(rows, landing, target, "stream", on_bad, epoch_unit)
-        if dlq:
-            letters = malformed_letters(decoded)
-            if on_bad == "quarantine":
-                letters = letters.unionByName(dead_letters(rows, [landing], "stream"))
-            if not letters.isEmpty():
-                land_dead_letters(letters, dlq)
+        good = ready.filter(F.col("error_message").isNull())
+        if on_bad != "quarantine":
+            good = project(good, landing, "stream", on_bad)
+        landed = land_projected(
+            good.drop("error_message", "raw_payload"), landing, target, "stream", epoch_unit
+        )
+        letters = ready.filter(F.col("error_message").isNotNull())
+        if not letters.isEmpty():
+            land_dead_letters(as_dead_letters(letters), dlq)
         return landed
     finally:
-        decoded.unpersist()
+        ready.unpersist()
 
 
 def start_ingest_stream(

@@ -182,9 +182,12 @@ def test_bad_value_stops_a_failing_stream(bench, raw):
         streaming.drain(query)
 
 
-def test_quarantine_needs_a_place(bench, spark):
-    with pytest.raises(ValueError):
-        streaming.land_messages(message_frame(spark, "[]"), STATUS, bench.table)
+def test_blanking_stream_keeps_malformed_messages_apart(bench, spark):
+    sound = json.dumps([{**SOUND, "num_bikes_available": "x"}])
+    frame = message_frame(spark, sound, "{broken")
+    streaming.land_messages(frame, STATUS, bench.table, bench.dlq, on_bad="null")
+    assert rows(bench.read(), "num_bikes_available") == [(None,)]
+    assert rows(bench.letters(), "error_message") == [("message is not a JSON array of rows",)]
 
 
 def test_kafka_source_says_when_its_package_is_missing(spark):
