@@ -106,6 +106,12 @@ def epoch_to_date(epoch: Column, unit: str = "s") -> Column:
     )
 
 
+def partition_date(ts: Column) -> Column:
+    """Calendar date of a timestamp for partitioning, bounded as above."""
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in ("1970-01-01", "2100-01-01"))
+    return F.when((ts >= low) & (ts < high), F.to_date(ts))
+
+
 def round2(c: Column) -> Column:
     """Round a double to two places, ties to even, on the binary value: the
     DataFrame model's means are rounded this way, not by their decimal text."""

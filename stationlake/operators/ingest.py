@@ -15,7 +15,7 @@ from stationlake import schemas
 from stationlake.functions.predicates import all_present, has_info_strict
 from stationlake.functions.scalars import empty_to_null, epoch_to_date
 from stationlake.operators.firsts import first_wins, last_wins
-from stationlake.operators.insert import insert_ignore, touched_dates
+from stationlake.operators.insert import insert_ignore, replace_by_key, touched_dates
 from stationlake.sources import layers
 
 MALFORMED = "message is not a JSON array of rows"
@@ -308,6 +308,16 @@ def land_projected(
     )
 
 
+def land_latest(rows: DataFrame, landing: Landing, target: str, mode: str = "batch") -> str:
+    """Like ``land``, but the last row per key wins over what is stored. For the
+    information table: it is rewritten, one row per station."""
+    picked = bronze_rows(rows, landing, mode, keep="last")
+    return replace_by_key(picked, target, landing.schema, landing.keys)
+
+
 def land_dead_letters(letters: DataFrame, target: str) -> int:
     unique = first_wins(letters, ["dlq_id"], ["error_message"])
-    return insert_ignore(unique, target, schemas.DEAD_LETTERS, ["dlq_id"])
+    batch = None
+    if layers.exists(letters.sparkSession, target):
+        batch = (None, letters.count())
+    return insert_ignore(unique, target, schemas.DEAD_LETTERS, ["dlq_id"], batch=batch)

@@ -86,3 +86,14 @@ def insert_ignore(
         writer = writer.partitionBy(partition_by)
     writer.parquet(target)
     return landed.get.get("rows") or 0
+
+
+def replace_by_key(new: DataFrame, target: str, schema: StructType, keys: Sequence[str]) -> str:
+    """Last write wins, for small tables with one row per key: rows of ``new``
+    take the place of those with the same key. Writes a new version of the whole
+    table; read it with ``layers.read_current``."""
+    spark = new.sparkSession
+    new = new.select(*schema.fieldNames())
+    current = layers.read_current(spark, target, schema)
+    kept = current.join(new.select(*keys), list(keys), "left_anti")
+    return layers.write_version(kept.select(*schema.fieldNames()).unionByName(new), target)

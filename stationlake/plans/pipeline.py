@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.functions.scalars import BULK_NULLS
+from stationlake.functions.scalars import BULK_NULLS, partition_date
 from stationlake.operators import control, quality
 from stationlake.operators.ingest import INFO, STATUS, dead_letters, land, land_dead_letters
 from stationlake.plans import gold, gold_sql, silver, silver_sql
@@ -118,7 +118,9 @@ def build_silver(spark: SparkSession, cfg: Config, bronze: str) -> tuple[str, st
         parsed = silver.parse(
             layers.read_layer(spark, bronze, schemas.RAW_LAYER), cfg.epoch_unit
         )
-        fact = silver.status_fact(parsed).withColumn("date", F.to_date("reported_at"))
+        fact = silver.status_fact(parsed).withColumn(
+            "date", partition_date(F.col("reported_at"))
+        )
         layers.write_layer(
             fact, lake.fact, ["date"], ["station_id", "reported_at"], force=True
         )
@@ -265,7 +267,7 @@ def build_warehouse(
     )
     checked = silver_sql.check_status(bronze[STATUS.name], info, epoch_unit)
     status_all, status = store_checked(
-        checked.withColumn("date", F.to_date("last_reported_ts")),
+        checked.withColumn("date", partition_date(F.col("last_reported_ts"))),
         "silver_station_status",
         ["date"],
     )

@@ -43,10 +43,10 @@ def read_feed_csv(
 ) -> DataFrame:
     """All-text scan of the feed plus file name and arrival order.
 
-    Files are split (unless ``multi_line``), so the position of a row is the
-    start of its split plus its number among the rows read so far. Every row
-    takes at least one byte, so positions never run into the next split, and
-    file-then-row order holds for any split size.
+    The position of a row is the start of its split plus its number in its task.
+    A split that is not its file's last is as large as Spark allows and so comes
+    first in its task; as every row takes at least one byte, its positions stay
+    below the next split's start. File-then-row order holds for any split size.
     """
     files = list_feed(spark, paths, max_files)
     raw = (

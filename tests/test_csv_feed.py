@@ -55,17 +55,23 @@ def uneven(tmp_path, write_csv):
     return folder, number
 
 
-@pytest.mark.parametrize("split_bytes", [300, 1000, 128 * 1024 * 1024])
-def test_arrival_order_is_file_then_row(spark, uneven, split_bytes):
+@pytest.mark.parametrize("split_bytes", [300, 1000, 3000, 128 * 1024 * 1024])
+@pytest.mark.parametrize("open_cost", [0, 100, 4 * 1024 * 1024])
+def test_arrival_order_is_file_then_row(spark, uneven, split_bytes, open_cost):
     folder, total = uneven
-    key = "spark.sql.files.maxPartitionBytes"
-    before = spark.conf.get(key)
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": split_bytes,
+        "spark.sql.files.openCostInBytes": open_cost,
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
-        spark.conf.set(key, split_bytes)
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         feed = read_feed_csv(spark, folder)
         order = feed.orderBy(*schemas.ARRIVAL).select("num_bikes_available").collect()
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert [int(r[0]) for r in order] == list(range(total))
 
 

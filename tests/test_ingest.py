@@ -11,6 +11,7 @@ from stationlake.operators.ingest import (
     dead_letters,
     land,
     land_dead_letters,
+    land_latest,
 )
 from stationlake.sources import layers
 
@@ -152,6 +153,14 @@ def read_count(spark, path):
     return layers.read_layer(spark, path, schemas.DEAD_LETTERS).count()
 
 
+def test_last_write_wins_over_what_is_stored(spark, raw, tmp_path):
+    target = str(tmp_path / "info")
+    land_latest(raw({"station_name": "a"}, {"station_id": "2", "station_name": "b"}), INFO, target)
+    land_latest(raw({"station_name": "c"}, {"station_name": "d"}), INFO, target)
+    current = layers.read_current(spark, target, INFO.schema)
+    assert rows(current, "station_id", "station_name") == [("1", "d"), ("2", "b")]
+
+
 def test_unknown_modes_are_refused(raw):
     with pytest.raises(ValueError):
         bronze_rows(raw({}), STATUS, mode="replay")

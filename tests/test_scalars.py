@@ -113,3 +113,9 @@ def test_exact_ratio_rounds_half_up_on_the_exact_value(spark):
     four = [r[0] for r in df.select(S.exact_ratio(F.col("n"), F.col("d"), 4)).collect()]
     assert two == [17.28, 0.01, 0.33, None]
     assert four == [17.275, 0.0063, 0.3333, None]
+
+
+def test_partition_date_is_bounded(spark):
+    epochs = [1_000_000_001, 4_102_444_799, 4_102_444_800, 1_700_000_000_000]
+    got = values(spark, epochs, lambda c: S.partition_date(S.epoch_to_ts(c)), "bigint")
+    assert got == [date(2001, 9, 9), date(2099, 12, 31), None, None]
