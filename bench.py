@@ -81,6 +81,7 @@ def main() -> None:
                 for k in ("rows_total", "rows_per_second", "producer_seconds")
                 if result.get(k) is not None
             }
+            ingest[key]["input_rows"] = rows
             print(key, result, file=sys.stderr, flush=True)
 
     print(
@@ -94,6 +95,8 @@ def main() -> None:
                 "ingest": ingest,
                 "master": spark.sparkContext.master,
                 "spark": spark.version,
+                "driver_memory": spark.sparkContext.getConf().get("spark.driver.memory"),
+                "repetitions": "1 timed after 1 warm-up",
             }
         )
     )

@@ -304,8 +304,8 @@ def gold_bounds_violations(spark, sf_dir):
 def gold_data_quality(spark, sf_dir):
     feed = derived_feed(spark, sf_dir)
     info_checked = silver_sql.check_info(_bronze_info(spark, sf_dir))
-    return quality.quality_metrics(feed, _checked_status(spark, sf_dir), STATUS).unionByName(
-        quality.quality_metrics(feed, info_checked, INFO)
+    return quality.quality_metrics(
+        feed, [(STATUS, _checked_status(spark, sf_dir)), (INFO, info_checked)]
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.operators.ingest import STATUS, Landing, any_unfit, wanted
+from stationlake.operators.ingest import Landing, any_unfit, wanted
 
 Rules = Mapping[str, Column]
 
@@ -66,73 +66,89 @@ def _count(test: Column) -> Column:
     return F.count(F.when(test, F.lit(1)))
 
 
-def quality_metrics(
-    raw: DataFrame,
-    checked: DataFrame,
-    landing: Landing = STATUS,
-    mode: str = "batch",
-    thresholds: Mapping[str, float] = THRESHOLDS,
-) -> DataFrame:
-    """One row per metric of one dataset.
-
-    Two aggregates, one over the raw rows and one over the validated rows (all
-    of them, with ``violations``), each a single partially aggregated pass. Only
-    their two result rows meet.
-    """
+def _raw_counts(landing: Landing, mode: str) -> dict[str, Column]:
     relevant = wanted(landing, mode)
     keyless = F.col("station_id").isNull()
     if not landing.info_only:
         keyless = keyless | F.col("station_status_last_reported").isNull()
     bad = relevant & any_unfit(landing, mode)
-    before = raw.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        _count(keyless).alias("null_key_count"),
-        _count(bad).alias("cast_failure_count"),
-        (_count(relevant) - _count(bad)).alias("good"),
-    )
+    return {
+        "row_count": F.count(F.lit(1)),
+        "null_key_count": _count(keyless),
+        "cast_failure_count": _count(bad),
+        "good": _count(relevant) - _count(bad),
+    }
+
+
+def _checked_counts() -> dict[str, Column]:
     orphan = F.array_contains("violations", "station_unknown")
     others = F.size(F.array_remove("violations", "station_unknown"))
-    after = checked.agg(
-        F.count(F.lit(1)).alias("stored"),
-        _count(orphan).alias("orphan_count"),
-        _count(others > 0).alias("bound_violation_count"),
-        _count(F.size("violations") > 0).alias("rejected"),
+    return {
+        "stored": F.count(F.lit(1)),
+        "orphan_count": _count(orphan),
+        "bound_violation_count": _count(others > 0),
+        "rejected": _count(F.size("violations") > 0),
+    }
+
+
+def _named(columns: Mapping[str, Column], prefix: str) -> list[Column]:
+    return [c.alias(f"{prefix}{name}") for name, c in columns.items()]
+
+
+def quality_metrics(
+    raw: DataFrame,
+    checked: Sequence[tuple[Landing, DataFrame]],
+    mode: str = "batch",
+    thresholds: Mapping[str, float] = THRESHOLDS,
+) -> DataFrame:
+    """One row per metric and dataset.
+
+    ``checked`` pairs each bronze table with its validated rows (all of them,
+    with ``violations``). One partially aggregated pass over the raw rows serves
+    all datasets, one more runs over each dataset's validated rows; only their
+    single result rows meet.
+    """
+    prefixed = [(f"d{i}_", landing, rows) for i, (landing, rows) in enumerate(checked)]
+    counts = raw.agg(
+        *(c for prefix, landing, _ in prefixed for c in _named(_raw_counts(landing, mode), prefix))
     )
-    both = before.unionByName(after, allowMissingColumns=True)
-    total = both.agg(*(F.max(c).cast("double").alias(c) for c in both.columns))
+    for prefix, _, rows in prefixed:
+        counts = counts.unionByName(
+            rows.agg(*_named(_checked_counts(), prefix)), allowMissingColumns=True
+        )
+    total = counts.agg(*(F.max(c).cast("double").alias(c) for c in counts.columns))
 
     def pct(part: Column, whole: str) -> Column:
         share = 100.0 * part / F.nullif(F.col(whole), F.lit(0.0))
         return F.coalesce(F.round(share, 4), F.lit(0.0))
 
-    total = total.withColumns(
-        {
-            "duplicate_rate": pct(F.col("good") - F.col("stored"), "good"),
-            "rejected_rate": pct(F.col("rejected"), "stored"),
+    cells = []
+    for prefix, landing, _ in prefixed:
+        good, stored = f"{prefix}good", f"{prefix}stored"
+        rates = {
+            "duplicate_rate": pct(F.col(good) - F.col(stored), good),
+            "rejected_rate": pct(F.col(f"{prefix}rejected"), stored),
         }
-    )
-    names = [n for n in thresholds if not (landing.info_only and n == "orphan_count")]
-    rows = total.select(
-        F.stack(
-            F.lit(len(names)),
-            *(
-                part
-                for n in names
-                for part in (F.lit(n), F.col(n), F.lit(float(thresholds[n])), F.lit(UNITS[n]))
-            ),
-        ).alias("metric_name", "metric_value", "threshold", "unit")
+        for name, threshold in thresholds.items():
+            if landing.info_only and name == "orphan_count":
+                continue
+            value = rates[name] if name in rates else F.col(f"{prefix}{name}")
+            cells += [
+                F.lit(name),
+                value,
+                F.lit(float(threshold)),
+                F.lit(UNITS[name]),
+                F.lit(landing.name),
+            ]
+    metrics = total.select(
+        F.stack(F.lit(len(cells) // 5), *cells).alias(
+            "metric_name", "metric_value", "threshold", "unit", "dataset"
+        )
     )
     enough = F.when(
         F.col("metric_name") == "row_count", F.col("metric_value") >= F.col("threshold")
     ).otherwise(F.col("metric_value") <= F.col("threshold"))
-    return rows.select(
-        "metric_name",
-        "metric_value",
-        "threshold",
-        "unit",
-        F.lit(landing.name).alias("dataset"),
-        F.when(enough, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-    )
+    return metrics.withColumn("status", F.when(enough, F.lit("PASS")).otherwise(F.lit("FAIL")))
 
 
 def as_audit_rows(metrics: DataFrame) -> DataFrame:

@@ -286,9 +286,7 @@ def build_warehouse(
         breaches = found if breaches is None else breaches.unionByName(found)
     store(breaches, "gold", "bounds_violations")
     if raw is not None:
-        metrics = quality.quality_metrics(raw, status_all, STATUS).unionByName(
-            quality.quality_metrics(raw, info_all, INFO)
-        )
+        metrics = quality.quality_metrics(raw, [(STATUS, status_all), (INFO, info_all)])
         paths["gold_data_quality"] = lake.at("gold", "gold_data_quality")
         quality.as_audit_rows(metrics).write.mode("append").parquet(paths["gold_data_quality"])
     return paths

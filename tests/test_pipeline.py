@@ -3,7 +3,6 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.__main__ import main

@@ -167,7 +167,7 @@ def test_quality_metrics(raw):
     checked = silver_sql.check_status(bronze_rows(feed, STATUS), info)
     got = {
         r.metric_name: (r.metric_value, r.status)
-        for r in quality.quality_metrics(feed, checked).collect()
+        for r in quality.quality_metrics(feed, [(STATUS, checked)]).collect()
     }
     assert got == {
         "row_count": (6.0, "PASS"),
@@ -178,7 +178,9 @@ def test_quality_metrics(raw):
         "bound_violation_count": (1.0, "FAIL"),
         "rejected_rate": (66.6667, "FAIL"),
     }
-    lenient = quality.quality_metrics(feed, checked, thresholds={"orphan_count": 1.0})
+    lenient = quality.quality_metrics(
+        feed, [(STATUS, checked)], thresholds={"orphan_count": 1.0}
+    )
     assert [r.status for r in lenient.collect()] == ["PASS"]
 
 
@@ -186,6 +188,6 @@ def test_quality_of_nothing(raw):
     feed = raw({}).limit(0)
     info = silver_sql.check_info(bronze_rows(feed, INFO))
     checked = silver_sql.check_status(bronze_rows(feed, STATUS), quality.kept(info))
-    got = {r.metric_name: (r.metric_value, r.status) for r in quality.quality_metrics(feed, checked).collect()}
+    got = {r.metric_name: (r.metric_value, r.status) for r in quality.quality_metrics(feed, [(STATUS, checked)]).collect()}
     assert got["row_count"] == (0.0, "FAIL")
     assert got["duplicate_rate"] == (0.0, "PASS") and got["rejected_rate"] == (0.0, "PASS")
