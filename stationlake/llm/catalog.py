@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from stationlake.llm import mixing, quality_ledger
+from stationlake.llm import line_dedup, minhash, mixing, quality_ledger
 from stationlake.llm.common import documents
 
 
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_ledger.quality_rules(documents(spark, sf_dir))
 
@@ -14,11 +18,19 @@ def op8_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op9_near_duplicates(spark, sf_dir):
+    found = minhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
+    "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 
 ORACLE = {
+    "op5_line_dedup": line_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
