@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from stationlake.llm import line_dedup, minhash, mixing, quality_ledger
-from stationlake.llm.common import documents
+from stationlake.llm import line_dedup, minhash, mixing, quality_ledger, toxicity
+from stationlake.llm.common import documents, table
 
 
 def op5_line_dedup(spark, sf_dir):
@@ -23,11 +23,16 @@ def op9_near_duplicates(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_toxicity(spark, sf_dir):
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {

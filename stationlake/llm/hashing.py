@@ -63,19 +63,40 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
-def hashed_words(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, A-Z as a-z, and where each text's words begin and end."""
+def gaps(characters: bytes) -> np.ndarray:
+    """A table of the bytes that separate words."""
+    table = np.zeros(256, bool)
+    table[list(characters)] = True
+    return table
+
+
+def spans(texts: list[bytes], gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one array of bytes, A-Z as a-z; where words start and end in
+    it; and which words are whose, as bounds."""
     data = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
-    gap = np.zeros(256, bool)
-    gap[list(WHITESPACE_BYTES)] = True
     edges = np.diff(np.r_[True, gap[data], True].view(np.int8))
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
-    up, down = powers.upto(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(starts, begins)
+    return data, starts, ends, np.searchsorted(starts, begins)
+
+
+def sums(data: np.ndarray, powers: Powers) -> np.ndarray:
+    """Running sums from which ``part_hashes`` takes the hash of any part."""
+    up, _ = powers.upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    return total
+
+
+def part_hashes(total: np.ndarray, starts, ends, powers: Powers) -> np.ndarray:
+    _, down = powers.upto(len(total))
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def hashed_words(texts: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and which words are whose."""
+    data, starts, ends, bounds = spans(texts, gaps(WHITESPACE_BYTES))
+    return part_hashes(sums(data, powers), starts, ends, powers), bounds
 
 
 def shingle_sets(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
