@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from stationlake.llm import line_dedup, minhash, mixing, quality_ledger, toxicity
+import public_tokenizers
+
+from stationlake.llm import line_dedup, minhash, mixing, packing, quality_ledger, toxicity
 from stationlake.llm.common import documents, table
 
 
+def vocabulary() -> str:
+    """The public vocabulary file that sequences are packed for."""
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark, sf_dir):
+    return packing.pack(documents(spark, sf_dir), vocabulary())
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
@@ -28,6 +39,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
