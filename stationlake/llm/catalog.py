@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stationlake.llm import line_dedup, minhash, mixing, packing, quality_ledger, toxicity
+from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, toxicity
 from stationlake.llm.common import documents, table
 
 
@@ -17,6 +17,10 @@ def op3_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
 
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints.edited(documents(spark, sf_dir))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
@@ -40,6 +44,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
