@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, toxicity
+from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, secrets_scan, toxicity
 from stationlake.llm.common import documents, table
 
 
@@ -13,6 +13,10 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_secret_scan(spark, sf_dir):
+    return secrets_scan.secret_scan(documents(spark, sf_dir))
+
+
 def op3_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary())
 
@@ -43,6 +47,7 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
