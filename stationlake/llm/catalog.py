@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, secrets_scan, toxicity
+from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, secrets_scan, toxicity, url_lists
 from stationlake.llm.common import documents, table
 
 
+def op2_url_filters(spark, sf_dir):
+    return url_lists.url_filters(spark, sf_dir)
+
+
 def vocabulary() -> str:
     """The public vocabulary file that sequences are packed for."""
     return public_tokenizers.path("word_bpe_49k.json")
@@ -48,6 +52,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_url_filters": op2_url_filters,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
@@ -58,6 +63,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_url_filters": url_lists.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }
