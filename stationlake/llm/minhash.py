@@ -7,10 +7,11 @@ candidates, and a link is what the full shingle sets confirm.
 
 Documents with equal sets form a class and are compared once. A bucket of
 classes is not expanded into pairs: its most typical class is compared with all
-others, then twice as many per round of those outside the bucket's largest
-component, until no two classes of different components are left that neither
-has been compared. Every pair of a bucket is therefore either confirmed, refuted,
-or already connected, and no bucket meets in one task.
+others, which connects nearly all that belongs together. What is then left in a
+bucket outside its largest component is compared with the rest of the bucket in
+blocks, set against set within a task, and only links between components leave
+the task. Every pair of a bucket is therefore confirmed, refuted, or already
+connected, and no bucket meets in one task.
 
 Two documents at the threshold share a bucket with probability
 ``1 - (1 - 0.739 ** ROWS) ** BANDS`` = 0.9999992 (Jaccard 0.85).
@@ -34,6 +35,7 @@ from stationlake.llm.hashing import Powers, blocks, shingle_sets, text_bytes
 BANDS, ROWS = 20, 4
 THRESHOLD = 85  # percent of the union
 _SLICE = 4096
+BLOCK_SHINGLES = 400_000
 
 
 def _permute(x: np.ndarray) -> np.ndarray:
@@ -218,46 +220,112 @@ def class_components(docs: DataFrame, drawn: DataFrame) -> DataFrame:
     leaders = members.groupBy("bucket").agg(
         F.max_by(F.struct("class", "n"), F.struct("typical", "class")).alias("leader")
     )
-    tested = step(_against(members, leaders), "pairs")
-    links = step(confirmed(tested, sets), "links")
-    done = leaders.select("bucket", F.col("leader.class").alias("class"))
-    labels, width = components(links), 2
-    while True:
-        labeled = members.join(labels, "class", "left").withColumn(
-            "component", F.coalesce("component", "class")
-        )
-        left = labeled.join(done, ["bucket", "class"], "left_anti")
-        counts = left.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
-        open_buckets = (
-            counts.groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("k", "component")).alias("main"))
-            .filter("parts > 1")
-            .select("bucket", "main")
+    links = step(confirmed(_against(members, leaders), sets), "star-links")
+    labels = components(links)
+    led = leaders.select("bucket", F.col("leader.class").alias("class"))
+    rest = members.join(led, ["bucket", "class"], "left_anti").join(labels, "class", "left")
+    more = step(_across(rest.withColumn("component", F.coalesce("component", "class")), sets), "more-links")
+    if more.isEmpty():
+        return labels
+    # The components so far are the nodes of a smaller graph.
+    joined = components(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    onward = joined.toDF("component", "joined")
+    single = joined.join(labels.select("component"), joined["class"] == labels["component"], "left_anti")
+    return step(
+        labels.join(onward, "component", "left")
+        .select("class", F.coalesce("joined", "component").alias("component"))
+        .unionByName(single),
+        "labels",
+    )
+
+
+def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (x, y) between components that share a bucket.
+
+    ``rest``: bucket, class, n, component, without the classes that were
+    compared with their whole bucket. Only classes outside a bucket's largest
+    component need a comparison with the others. Both sides are dealt into
+    blocks of about ``BLOCK_SHINGLES``, each pair of blocks is one small task,
+    and one link per component is all that leaves it.
+    """
+    counts = rest.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("shingles")
+    )
+    share = F.struct("k", "component")
+    open_buckets = (
+        counts.groupBy("bucket")
+        .agg(
+            F.count(F.lit(1)).alias("parts"),
+            F.max_by("component", share).alias("main"),
+            F.sum("shingles").alias("all"),
+            F.max_by("shingles", share).alias("in_main"),
         )
-        order = Window.partitionBy("bucket").orderBy(F.desc("typical"), "class")
-        chosen = step(
-            left.join(open_buckets, "bucket")
-            .filter(F.col("component") != F.col("main"))
-            .withColumn("place", F.row_number().over(order))
-            .filter(F.col("place") <= width)
-            .select(
-                "bucket",
-                F.struct("class", "n").alias("leader"),
-                F.col("component").alias("leader_component"),
-            ),
-            "leaders",
+        .filter("parts > 1")
+        .select(
+            "bucket",
+            "main",
+            F.ceil(F.col("all") / BLOCK_SHINGLES).alias("blocks"),
+            F.ceil((F.col("all") - F.col("in_main")) / BLOCK_SHINGLES).alias("chunks"),
         )
-        if chosen.isEmpty():
-            return labels
-        fresh = _against(labeled, chosen, F.col("component") != F.col("leader_component"))
-        fresh = step(fresh.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(fresh)
-        links = links.unionByName(step(confirmed(fresh, sets), "links"))
-        done = done.unionByName(chosen.select("bucket", F.col("leader.class").alias("class")))
-        labels, width = components(links), 2 * width
+    )
+    place = F.xxhash64("class")
+    everywhere = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    entered = rest.join(open_buckets, "bucket")
+    kept = ["bucket", "class", "component"]
+    stay = entered.select(
+        *kept,
+        F.pmod(place, F.col("blocks")).alias("block"),
+        everywhere("chunks").alias("chunk"),
+        F.lit(False).alias("asks"),
+    )
+    asking = entered.filter(F.col("component") != F.col("main")).select(
+        *kept,
+        everywhere("blocks").alias("block"),
+        F.pmod(place, F.col("chunks")).alias("chunk"),
+        F.lit(True).alias("asks"),
+    )
+    return (
+        stay.unionByName(asking)
+        .join(sets, "class")
+        .groupBy("bucket", "block", "chunk")
+        .applyInArrow(_linked_blocks, "x binary, y binary")
+        .distinct()
+    )
+
+
+def _linked_blocks(rows: pa.Table) -> pa.Table:
+    """Components (x, y) with a link between the asking rows and the others."""
+    components_, asks = rows["component"].to_pylist(), rows["asks"].to_pylist()
+    column = rows["shingles"].combine_chunks()
+    lists = [column[i].values.to_numpy() for i in range(len(column))]
+    others = [i for i, a in enumerate(asks) if not a]
+    sizes = np.array([len(lists[i]) for i in others])
+    owner = np.repeat(np.arange(len(others)), sizes)
+    content = np.concatenate([lists[i] for i in others]) if others else np.empty(0, np.int64)
+    order = np.argsort(content, kind="stable")
+    content, owner = content[order], owner[order]
+    labels = np.array([hash(components_[i]) for i in others])
+    found = set()
+    for i in (i for i, a in enumerate(asks) if a):
+        own = lists[i]
+        low = np.searchsorted(content, own, "left")
+        lengths = np.searchsorted(content, own, "right") - low
+        steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        both = np.bincount(owner[np.repeat(low, lengths) + steps], minlength=len(others))
+        linked = 100 * both >= THRESHOLD * (sizes + len(own) - both)
+        linked &= labels != hash(components_[i])
+        for j in np.flatnonzero(linked):
+            found.add((components_[i], components_[others[j]]))
+    pairs = list(found)
+    return pa.table(
+        {
+            "x": pa.array([x for x, _ in pairs], pa.binary()),
+            "y": pa.array([y for _, y in pairs], pa.binary()),
+        }
+    )
 
 
-def _against(members: DataFrame, leaders: DataFrame, also: Column | None = None) -> DataFrame:
+def _against(members: DataFrame, leaders: DataFrame) -> DataFrame:
     """Distinct pairs of leaders with the members of their buckets, a < b,
     without those whose sizes alone rule out a link."""
     other = F.col("leader.class")
@@ -265,7 +333,7 @@ def _against(members: DataFrame, leaders: DataFrame, also: Column | None = None)
     fits = (F.col("class") != other) & (100 * F.array_min(sizes) >= THRESHOLD * F.array_max(sizes))
     return (
         members.join(leaders, "bucket")
-        .filter(fits if also is None else fits & also)
+        .filter(fits)
         .select(F.least("class", other).alias("a"), F.greatest("class", other).alias("b"))
         .distinct()
     )
