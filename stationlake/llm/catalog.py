@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, secrets_scan, toxicity, url_lists
+from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, repeats, secrets_scan, toxicity, url_lists
 from stationlake.llm.common import documents, table
 
 
@@ -33,6 +33,10 @@ def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(documents(spark, sf_dir))
 
 
+def op6_repeats(spark, sf_dir):
+    return repeats.repeats(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark, sf_dir):
     return quality_ledger.quality_rules(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op5_line_dedup": op5_line_dedup,
+    "op6_repeats": op6_repeats,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
     "op9_near_duplicates": op9_near_duplicates,
