@@ -269,13 +269,19 @@ def _bronze_info(mode: str) -> str:
 
 _FAILED = """'bronze_station_status: num_bikes_available is not int: ' || num_bikes_available
   AS error_message"""
-_MESSAGE = """SELECT arrival_pos,
-  'station-status|' || CAST(arrival_pos % 8 AS VARCHAR) || '|' || CAST(arrival_pos // 8 AS VARCHAR)
-    AS place,
-  CAST(arrival_pos % 8 AS INTEGER) AS partition_num, arrival_pos // 8 AS kafka_offset,
-  num_bikes_available
-  FROM feed WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT NULL
-    AND TRY_CAST(num_bikes_available AS INTEGER) IS NULL"""
+# Status rows whose count of bikes is no number, per station.
+_UNFIT = f"""SELECT {_FAILED}, station_id, count(*) AS n FROM feed
+  WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT NULL
+    AND TRY_CAST(num_bikes_available AS INTEGER) IS NULL GROUP BY ALL"""
+
+
+# What changes in the metrics of a second, equal load: nothing of it landed.
+_SECOND = {
+    "duplicate_rate": "100.0",
+    "orphan_count": "0",
+    "bound_violation_count": "0",
+    "rejected_rate": "0.0",
+}
 
 
 def _bounds(table: str, source: str, key: str, column: str, low: float, high: float) -> str:
@@ -379,9 +385,22 @@ FROM feed WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT N
   AND TRY_CAST(num_bikes_available AS INTEGER) IS NULL"""
     ),
     "dlq_dedup": _q(
-        f"""SELECT sha256(place) AS event_id, 'station-status' AS source_topic, partition_num,
-  kafka_offset, {_FAILED} FROM ({_MESSAGE})
-UNION ALL SELECT NULL, NULL, NULL, NULL, {_FAILED} FROM ({_MESSAGE})"""
+        f"""SELECT 'station-status' AS source_topic, error_message, station_id,
+  2 * n AS letters, 2 * n AS events, 2 * n AS places FROM ({_UNFIT})
+UNION ALL SELECT NULL, error_message, station_id, n, 0, 0 FROM ({_UNFIT})"""
+    ),
+    "pipeline_log_states": _q(
+        """SELECT 'stationlake_load' AS pipeline_name, 'BRONZE' AS layer, 'SUCCESS' AS status,
+  (SELECT count(*) FROM bronze_status) + (SELECT count(*) FROM bronze_info) AS rows_processed
+UNION ALL SELECT 'stationlake_warehouse', 'SILVER', 'SUCCESS',
+  (SELECT count(*) FROM info) + (SELECT count(*) FROM status)
+UNION ALL SELECT 'stationlake_warehouse', 'GOLD', 'SUCCESS',
+  (SELECT count(*) FROM availability) + (SELECT count(*) FROM region_all)
+  + (SELECT count(*) FROM summary_all
+     WHERE (avg_utilization IS NULL OR avg_utilization BETWEEN 0 AND 1)
+       AND (avg_availability_pct IS NULL OR avg_availability_pct BETWEEN 0 AND 100))
+  + (SELECT count(*) FROM daily_all
+     WHERE avg_utilization IS NULL OR avg_utilization BETWEEN 0 AND 1)"""
     ),
     "silver_parsed": _q("SELECT * FROM parsed"),
     "silver_status_fact": _q("SELECT * FROM fact"),
@@ -472,6 +491,18 @@ WHERE (avg_utilization IS NULL OR avg_utilization BETWEEN 0 AND 1)
             + [_metric("bronze_station_information", *m) for m in _INFO_DQ]
         )
     ),
+    "gold_data_quality_two_loads": _q(
+        "\nUNION ALL ".join(
+            _metric(dataset, name, _SECOND[name], threshold, "(SELECT 1)")
+            if name in _SECOND
+            else _metric(dataset, name, value, threshold, source)
+            for dataset, metrics in (
+                ("bronze_station_status", _STATUS_DQ),
+                ("bronze_station_information", _INFO_DQ),
+            )
+            for name, value, threshold, source in metrics
+        )
+    ),
     "gold_bounds_violations": _q(
         "\nUNION ALL ".join(
             [
@@ -525,6 +556,9 @@ UNION ALL SELECT 'station-info', {_RAW_LIST} FROM feed
 WHERE missing_station_information = 'false'"""
     ),
     "stream_bronze_status": _bronze_status("stream"),
+    "stream_bronze_status_ms": f"""SELECT * REPLACE (
+  1000 * station_status_last_reported AS station_status_last_reported)
+FROM ({_bronze_status("stream")})""",
     "stream_bronze_info": _bronze_info("stream"),
     "stream_bronze_append": _q(f"SELECT {_RAW_LIST} FROM feed"),
     "stream_replay_idempotent": _bronze_status("stream"),

@@ -6,18 +6,23 @@ The session comes from spark-submit's settings; nothing is configured here.
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from stationlake import benchmark
+from stationlake import benchmark, schemas
+from stationlake.operators.ingest import sound_lines
 from stationlake.plans.pipeline import (
     Config,
     Lake,
     build_warehouse,
+    last_load,
     load_batch,
+    loaded_by_file,
     produce,
     run_pipeline,
 )
+from stationlake.sources import layers
 from stationlake.sources.csv_feed import read_feed_csv
 from stationlake.sources.messages import (
     TOPIC_INFO,
@@ -37,29 +42,43 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--lake", required=True, help="root folder of the tables")
         return sub
 
+    def feed_options(sub: argparse.ArgumentParser, epochs: bool = True, lines: bool = True) -> None:
+        if epochs:
+            sub.add_argument("--epoch-unit", choices=("s", "ms"), default="s")
+        if lines:
+            sub.add_argument("--multi-line", action="store_true", help="quoted fields may break lines")
+
     run = command("run", "bronze, silver and gold of the DataFrame model")
     run.add_argument("--csv", help="folder of feed files")
     run.add_argument("--files", help="first N files; 0 or all for every file")
     for layer in ("bronze", "silver", "gold", "all"):
         run.add_argument(f"--force-{layer}", action="store_true")
     run.add_argument("--stream", action="store_true", help="start from the streamed raw layer")
-    run.add_argument("--epoch-unit", choices=("s", "ms"), default="s")
+    feed_options(run)
 
     load = command("load", "load CSV files into the two bronze tables")
     load.add_argument("paths", nargs="+")
     load.add_argument("--on-bad", choices=("fail", "null", "quarantine"), default="quarantine")
+    feed_options(load)
 
-    command("warehouse", "silver and gold of the SQL model from the bronze tables")
+    build = command("warehouse", "silver and gold of the SQL model from the bronze tables")
+    build.add_argument(
+        "--quality", action="store_true", help="measure the last load, from its stage, as well"
+    )
+    feed_options(build, lines=False)
 
     send = command("produce", "send CSV rows as messages below LAKE/topics")
     send.add_argument("paths", nargs="+")
     send.add_argument("--files", type=int)
     send.add_argument("--max-rows", type=int)
+    send.add_argument("--kafka", help="bootstrap servers; without it, LAKE/topics")
+    feed_options(send, epochs=False)
 
     consume = command("consume", "land a topic")
     consume.add_argument("what", choices=("status", "info", "append"))
     consume.add_argument("--kafka", help="bootstrap servers; without it, LAKE/topics")
     consume.add_argument("--start", default="earliest", choices=("earliest", "latest"))
+    feed_options(consume, lines=False)
     consume.add_argument("--until-empty", action="store_true", help="stop once drained")
 
     bench = command("bench", "time ingest of the same files")
@@ -76,31 +95,34 @@ def parser() -> argparse.ArgumentParser:
 def consume(spark: SparkSession, args, lake: Lake) -> None:
     topic = TOPIC_INFO if args.what == "info" else TOPIC_STATUS
     if args.kafka:
-        # At least 4,000 rows (2,000 for info) or five seconds' worth per batch.
-        least = 1 if args.what == "info" else 2
-        source = stream_kafka(spark, args.kafka, topic, args.start, least, 10_000)
+        # The least number of messages of 2,000 rows per batch, and
+        # how long to wait for them.
+        least, delay = {"info": (1, "5s"), "status": (2, "5s"), "append": (10, "10s")}[args.what]
+        source = stream_kafka(spark, args.kafka, topic, args.start, least, 10_000, delay)
     else:
         source = stream_message_dir(spark, f"{lake.root}/topics/topic={topic}", topic)
     checkpoint = lake.at("checkpoints", args.what)
     now = {"available_now": args.until_empty}
     if args.what == "append":
         query = streaming.start_append_stream(source, lake.raw_stream, checkpoint, **now)
-    elif args.what == "info":
-        query = streaming.start_info_stream(
-            source, lake.info, checkpoint, f"{lake.dlq}_info", **now
-        )
     else:
-        query = streaming.start_status_stream(
-            source, lake.status, checkpoint, f"{lake.dlq}_status", **now
-        )
-    streaming.drain(query)
+        start, target = {
+            "info": (streaming.start_info_stream, lake.info),
+            "status": (streaming.start_status_stream, lake.status),
+        }[args.what]
+        now |= {"epoch_unit": args.epoch_unit, "log": lake.log}
+        query = start(source, target, checkpoint, lake.dlq, **now)
+    try:
+        streaming.drain(query)
+    except KeyboardInterrupt:
+        streaming.stop_gracefully(query)
 
 
 def bench(spark: SparkSession, args, lake: Lake) -> None:
     source, files = args.csv, args.files
     if args.max_rows:
         source = benchmark.sample_csv(
-            read_feed_csv(spark, args.csv, ()), args.max_rows, f"{lake.root}/sample_{args.max_rows}"
+            sound_lines(read_feed_csv(spark, args.csv, ()), "fail"), args.max_rows, f"{lake.root}/sample_{args.max_rows}"
         )
     name = f"bench-{args.mode}-{spark.sparkContext.applicationId}"
     result = benchmark.RUNNERS[args.mode](spark, source, lake.at("bench", name), files)
@@ -125,15 +147,44 @@ def main(argv: list[str] | None = None) -> None:
                 everything or args.force_gold,
                 args.stream,
                 args.epoch_unit,
+                args.multi_line,
             ),
         )
         print(*(f"{name}: {path}" for name, path in outputs.items()), sep="\n")
     elif args.command == "load":
-        print(load_batch(spark, args.paths, lake, on_bad=args.on_bad))
+        started = datetime.now(timezone.utc)
+        print(
+            load_batch(
+                spark,
+                args.paths,
+                lake,
+                on_bad=args.on_bad,
+                epoch_unit=args.epoch_unit,
+                multi_line=args.multi_line,
+            )
+        )
+        for row in loaded_by_file(spark, lake, started).toLocalIterator():
+            print(*row)
     elif args.command == "warehouse":
-        print(*build_warehouse(spark, lake).values(), sep="\n")
+        raw = since = None
+        if args.quality:
+            raw = layers.read_layer(spark, lake.stage, schemas.STAGE)
+            since = last_load(spark, lake)
+        paths = build_warehouse(spark, lake, raw, args.epoch_unit, since)
+        print(*paths.values(), sep="\n")
     elif args.command == "produce":
-        print(produce(spark, args.paths, f"{lake.root}/topics", args.files, args.max_rows))
+        print(
+            produce(
+                spark,
+                args.paths,
+                f"{lake.root}/topics",
+                args.files,
+                args.max_rows,
+                args.multi_line,
+                args.kafka,
+                lake.dlq,
+            )
+        )
     elif args.command == "consume":
         consume(spark, args, lake)
     elif args.command == "bench":

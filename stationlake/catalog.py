@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import schemas
-from stationlake.operators import control, firsts, quality
+from stationlake.operators import control, quality
 from stationlake.operators.ingest import INFO, STATUS, bronze_rows, dead_letters
 from stationlake.plans import gold, gold_sql, silver, silver_sql
-from stationlake.plans.pipeline import Lake, load_batch
+from stationlake.plans.pipeline import Lake, build_warehouse, last_load, load_batch
 from stationlake.session import fresh_dir
 from stationlake.sources import layers, messages
 from stationlake.sources.csv_feed import peek, read_feed_csv, sample_first_m, write_feed_csv
@@ -158,29 +158,41 @@ def bronze_dlq(spark, sf_dir):
 
 
 def dlq_dedup(spark, sf_dir):
-    """Dead letters of one delivery by file and two by message: file letters
-    have no event id and all stay, message letters stay once per event."""
-    feed = derived_feed(spark, sf_dir)
-    place = F.col("arrival_pos")
-    as_event = feed.withColumns(
-        {
-            "kafka_topic": F.lit(messages.TOPIC_STATUS),
-            "kafka_partition": (place % 8).cast("int"),
-            "kafka_offset": F.call_function("div", place, F.lit(8)),
-        }
-    ).withColumn(
-        "event_id",
-        F.sha2(F.concat_ws("|", "kafka_topic", "kafka_partition", "kafka_offset"), 256),
-    )
-    by_file = dead_letters(feed, [STATUS])
-    by_event = dead_letters(as_event, [STATUS])
-    letters = by_file.unionByName(by_event).unionByName(by_event)
-    unique = firsts.unique_when_present(letters, "event_id", ["error_message"])
-    return unique.select(
-        "event_id", "source_topic", "partition_num", "kafka_offset", "error_message"
+    """The one table of dead letters after the feed was loaded from files twice,
+    and sent twice, consumed, and consumed once more from the start: a file
+    letter comes once, a message letter once for each message."""
+    lake = _loaded(spark, sf_dir, 2)
+    topics = {}
+    for _ in range(2):
+        topics = _send(spark, sf_dir, f"{lake.root}/topics")
+    for delivery in range(2):
+        source = messages.stream_message_dir(
+            spark, topics[messages.TOPIC_STATUS], messages.TOPIC_STATUS
+        )
+        query = streaming.start_status_stream(
+            source,
+            lake.at("bronze", "streamed"),
+            f"{lake.root}/checkpoint-{delivery}",
+            lake.dlq,
+            available_now=True,
+        )
+        streaming.drain(query)
+    letters = layers.read_layer(spark, lake.dlq, schemas.DEAD_LETTERS)
+    return letters.groupBy("source_topic", "error_message", _payload("station_id")).agg(
+        F.count(F.lit(1)).alias("letters"),
+        F.count_distinct("event_id").alias("events"),
+        F.count_distinct("partition_num", "kafka_offset", "event_id").alias("places"),
     )
 
 
+def pipeline_log_states(spark, sf_dir):
+    """What the run log says after a batch load and a warehouse build."""
+    lake = _loaded(spark, sf_dir)
+    build_warehouse(spark, lake)
+    log = layers.read_layer(spark, lake.log, schemas.RUN_LOG)
+    return control.runs(log).select("pipeline_name", "layer", "status", "rows_processed")
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -309,12 +321,22 @@ def gold_data_quality(spark, sf_dir):
     )
 
 
+def gold_data_quality_two_loads(spark, sf_dir):
+    """Metrics of the second of two equal loads: all its rows are duplicates."""
+    lake = _loaded(spark, sf_dir, 2)
+    stage = layers.read_layer(spark, lake.stage, schemas.STAGE)
+    paths = build_warehouse(spark, lake, stage, since=last_load(spark, lake))
+    metrics = spark.read.parquet(paths["gold_data_quality"])
+    return metrics.select("metric_name", "metric_value", "threshold", "unit", "dataset", "status")
+
+
 # --- messages and streams ---------------------------------------------------
 
 
-def _send(spark, sf_dir, path: str) -> dict[str, str]:
+def _send(spark, sf_dir, path: str, feed=None) -> dict[str, str]:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = messages.encode_messages(derived_feed(spark, sf_dir), ordered_partitions=tasks)
+    feed = derived_feed(spark, sf_dir) if feed is None else feed
+    packed = messages.encode_messages(feed, ordered_partitions=tasks)
     return messages.write_message_dir(packed, path)
 
 
@@ -343,11 +365,23 @@ def produce_status_messages(spark, sf_dir):
     return decoded
 
 
-def _streamed(spark, sf_dir, landing, topic, deliveries: int = 1) -> DataFrame:
+def stream_bronze_status_ms(spark, sf_dir):
+    """As ``stream_bronze_status``, with report times in milliseconds."""
+    feed = derived_feed(spark, sf_dir).withColumn(
+        "station_status_last_reported", F.concat("station_status_last_reported", F.lit("000"))
+    )
+    return _status_out(
+        _streamed(spark, sf_dir, STATUS, messages.TOPIC_STATUS, feed=feed, epoch_unit="ms")
+    )
+
+
+def _streamed(
+    spark, sf_dir, landing, topic, deliveries: int = 1, feed=None, epoch_unit: str = "s"
+) -> DataFrame:
     """Land a topic through a stream; a second delivery replays the whole topic
     on a new checkpoint."""
     root = fresh_dir(spark, "stream")
-    directory = _send(spark, sf_dir, f"{root}/topics")[topic]
+    directory = _send(spark, sf_dir, f"{root}/topics", feed)[topic]
     for delivery in range(deliveries):
         source = messages.stream_message_dir(spark, directory, topic)
         query = streaming.start_ingest_stream(
@@ -357,6 +391,7 @@ def _streamed(spark, sf_dir, landing, topic, deliveries: int = 1) -> DataFrame:
             f"{root}/checkpoint-{delivery}",
             f"{root}/dlq",
             available_now=True,
+            epoch_unit=epoch_unit,
         )
         streaming.drain(query)
     return layers.read_layer(spark, f"{root}/table", landing.schema)
@@ -399,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "watermark_refresh": watermark_refresh,
     "bronze_dlq": bronze_dlq,
     "dlq_dedup": dlq_dedup,
+    "pipeline_log_states": pipeline_log_states,
     "silver_parsed": silver_parsed,
     "silver_status_fact": silver_status_fact,
     "silver_station_dimension": silver_station_dimension,
@@ -416,10 +452,12 @@ QUERIES: dict[str, Query] = {
     "gold_station_daily": gold_station_daily,
     "gold_region_summary": gold_region_summary,
     "gold_data_quality": gold_data_quality,
+    "gold_data_quality_two_loads": gold_data_quality_two_loads,
     "gold_bounds_violations": gold_bounds_violations,
     "route_topics": route_topics,
     "produce_status_messages": produce_status_messages,
     "stream_bronze_status": stream_bronze_status,
+    "stream_bronze_status_ms": stream_bronze_status_ms,
     "stream_bronze_info": stream_bronze_info,
     "stream_bronze_append": stream_bronze_append,
     "stream_replay_idempotent": stream_replay_idempotent,

@@ -51,7 +51,9 @@ def to_long(c: Column) -> Column:
 
 
 def to_double(c: Column) -> Column:
-    return c.try_cast("double")
+    """Lenient cast. Java's number suffixes (``40.7d``, ``1.5F``) are no part of
+    a number in text."""
+    return F.when(~F.lower(F.right(strip(c), F.lit(1))).isin("d", "f"), c).try_cast("double")
 
 
 def to_bool(c: Column) -> Column:

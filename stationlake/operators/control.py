@@ -42,15 +42,22 @@ def refresh_watermark(
     """
     found = None
     for name, table in tables.items():
-        counted = table.agg(
-            F.count(F.lit(1)).alias("n"), F.lit(None).cast("timestamp_ntz").alias("newest")
-        )
-        if "station_status_last_reported" in table.columns:
-            recent = _from_date(table, since) if since else table
+        count = F.count(F.lit(1)).alias("n")
+        if "station_status_last_reported" not in table.columns:
+            counted = table.agg(count, F.lit(None).cast("timestamp_ntz").alias("newest"))
+        else:
             newest = epoch_to_ts(F.max("station_status_last_reported"), epoch_unit)
-            counted = counted.unionByName(
-                recent.agg(F.lit(None).cast("bigint").alias("n"), newest.alias("newest"))
-            )
+            if since is None:
+                counted = table.agg(count, newest.alias("newest"))
+            else:
+                # The count is of all partitions, from footers; the scan of few.
+                counted = table.agg(
+                    count, F.lit(None).cast("timestamp_ntz").alias("newest")
+                ).unionByName(
+                    _from_date(table, since).agg(
+                        F.lit(None).cast("bigint").alias("n"), newest.alias("newest")
+                    )
+                )
         counted = counted.withColumn("source_name", F.lit(name))
         found = counted if found is None else found.unionByName(counted)
     found = found.groupBy("source_name").agg(
@@ -93,7 +100,7 @@ def above_mark(bronze_status: DataFrame, mark: datetime | None, epoch_unit: str
     epochs) are still compared.
 
     A high-water mark on report time: rows that arrive late, with a report time
-    at or before the mark, are not in this result.
+    at or before the mark, are not in this result; ``landed_since`` has them.
     """
     if mark is None:
         return bronze_status
@@ -103,6 +110,12 @@ def above_mark(bronze_status: DataFrame, mark: datetime | None, epoch_unit: str
     )
 
 
+def landed_since(bronze: DataFrame, mark: datetime) -> DataFrame:
+    """Rows that landed at a time or later, whenever they were reported: what an
+    incremental build has to read, late reports included."""
+    return bronze.filter(F.col("ingested_at") >= F.lit(mark))
+
+
 def log_row(
     spark: SparkSession,
     run_id: str,
@@ -123,7 +136,7 @@ def log_row(
         layer,
         state,
         rows,
-        error and error[:2000],
+        error,
         duration,
     )
     return spark.createDataFrame([record], schemas.RUN_LOG)

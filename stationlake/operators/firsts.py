@@ -83,15 +83,26 @@ def first_non_null(
 
 
 def latest_non_null(
-    rows: DataFrame, key: str, columns: Sequence[str], at: str
+    rows: DataFrame, key: str, text_column: str, fixed_columns: Sequence[str], at: str
 ) -> DataFrame:
     """Like ``first_non_null`` but by descending ``at``, then arrival.
 
-    ``at`` is a timestamp; rows without one come last.
+    ``at`` is a timestamp; rows without one come last. Two levels again: by
+    source, key and text the best time of each column is found with fixed-width
+    buffers only, then its place, then sources meet.
     """
     age = F.coalesce(-F.unix_timestamp(F.col(at)), F.lit((1 << 63) - 1))
-    order = F.struct(age, *(F.col(c) for c in ARRIVAL))
-    return rows.groupBy(key).agg(*(_where(F.min_by, F.col(c), order).alias(c) for c in columns))
+    order = F.struct(age.alias("age"), F.col("arrival_pos").alias("pos"))
+    per_source = rows.groupBy("arrival_source", key, text_column).agg(
+        *(_where(F.min_by, F.col(c), order).alias(c) for c in fixed_columns),
+        *(F.min(F.when(F.col(c).isNotNull(), order)).alias(f"{c}_at") for c in fixed_columns),
+        F.min(order).alias(f"{text_column}_at"),
+    )
+    picks = []
+    for c in [text_column, *fixed_columns]:
+        best = F.struct(f"{c}_at.age", "arrival_source", f"{c}_at.pos")
+        picks.append(_where(F.min_by, F.col(c), best).alias(c))
+    return per_source.groupBy(key).agg(*picks)
 
 
 def unique_when_present(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -19,14 +19,11 @@ from stationlake.operators.insert import insert_ignore, replace_by_key, touched_
 from stationlake.sources import layers
 
 MALFORMED = "message is not a JSON array of rows"
+MALFORMED_LINE = "line is not a CSV row of the feed's columns"
 
 MODES = ("batch", "stream")
 ON_BAD = ("fail", "null", "quarantine")
 
-# A message's rows are numbered below this many bits of their arrival position,
-# its offset above: one BIGINT that orders rows within a topic partition.
-ROW_BITS = 22
-
 # Provenance a source may lack; missing ones are filled with NULL.
 _PROVENANCE = {
     "source_file": "string",
@@ -46,6 +43,7 @@ class Landing:
     columns: tuple[str, ...]
     casts: dict[str, str]
     keys: tuple[str, ...]
+    topic: str = ""
     info_only: bool = False
     partition_by: str | None = None
     sort: tuple[str, ...] = field(default=())
@@ -57,6 +55,7 @@ STATUS = Landing(
     columns=tuple(schemas.RAW_COLUMNS[:10]),
     casts={**{c: "int" for c in schemas.COUNT_COLUMNS}, "station_status_last_reported": "bigint"},
     keys=("station_id", "station_status_last_reported"),
+    topic=schemas.TOPIC_STATUS,
     partition_by="event_date",
     sort=("station_id", "station_status_last_reported"),
 )
@@ -71,6 +70,7 @@ INFO = Landing(
         "station_information_last_updated": "bigint",
     },
     keys=("station_id",),
+    topic=schemas.TOPIC_INFO,
     info_only=True,
 )
 
@@ -86,6 +86,11 @@ def _text(c: str, landing: Landing, mode: str) -> Column:
     return empty_to_null(F.col(c)) if mode == "stream" and c in landing.casts else F.col(c)
 
 
+def key_text(c: str, landing: Landing, mode: str = "batch") -> Column:
+    """A key column's text, NULL where the route takes it for absent."""
+    return _text(c, landing, mode)
+
+
 def wanted(landing: Landing, mode: str = "batch") -> Column:
     """Does a raw row belong into the table at all?"""
     if landing.info_only:
@@ -101,30 +106,42 @@ def wanted(landing: Landing, mode: str = "batch") -> Column:
 def _unfit(c: str, landing: Landing, mode: str) -> Column:
     """Does a column hold text that does not fit its type?"""
     text = _text(c, landing, mode)
+    if c not in landing.casts:
+        return F.coalesce(F.length(text) > schemas.TEXT_LENGTHS[c], F.lit(False))
     return text.isNotNull() & text.try_cast(landing.casts[c]).isNull()
 
 
+def _checked_columns(landing: Landing) -> list[str]:
+    return [c for c in landing.columns if c in landing.casts or c in schemas.TEXT_LENGTHS]
+
+
 def any_unfit(landing: Landing, mode: str = "batch") -> Column:
-    return reduce(or_, (_unfit(c, landing, mode) for c in landing.casts))
+    return reduce(or_, (_unfit(c, landing, mode) for c in _checked_columns(landing)))
 
 
 def _complaint(c: str, landing: Landing, mode: str) -> Column:
+    if c not in landing.casts:
+        most = schemas.TEXT_LENGTHS[c]
+        return F.concat(F.lit(f"{c} is longer than {most}: "), _text(c, landing, mode))
     return F.concat(F.lit(f"{c} is not {landing.casts[c]}: "), _text(c, landing, mode))
 
 
 def cast_errors(landing: Landing, mode: str = "batch") -> Column:
-    """All cast failures of a row as one text, empty when there are none."""
+    """All unfit values of a row as one text, empty when there are none."""
     return F.concat_ws(
         "; ",
-        *(F.when(_unfit(c, landing, mode), _complaint(c, landing, mode)) for c in landing.casts),
+        *(
+            F.when(_unfit(c, landing, mode), _complaint(c, landing, mode))
+            for c in _checked_columns(landing)
+        ),
     )
 
 
 def event_id() -> Column:
-    """A hash of a message row's place in its topic."""
-    pos = F.col("arrival_pos").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    """A hash of a message row's place in its topic: message, place in the array."""
+    place = F.col("arrival_pos").cast("string")
     return F.sha2(
-        F.concat_ws("|", "kafka_topic", "kafka_partition", "kafka_offset", pos.cast("string")), 256
+        F.concat_ws("|", "kafka_topic", "kafka_partition", "kafka_offset", place), 256
     )
 
 
@@ -144,9 +161,10 @@ def project(
 ) -> DataFrame:
     """Select a table's rows and columns from raw rows and type them.
 
-    Rows with a value that does not fit its type are left to the dead letters
-    under ``quarantine``; ``fail`` raises on the first and ``null`` blanks the
-    value.
+    Rows with a value that does not fit its column, and lines that are no rows,
+    are left to the dead letters under ``quarantine``; ``fail`` raises on the
+    first and ``null`` blanks the value. To raise before anything is written,
+    see ``first_fault``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -154,15 +172,18 @@ def project(
         raise ValueError(f"on_bad must be one of {ON_BAD}, not {on_bad!r}")
 
     def typed(c: str) -> Column:
-        if c not in landing.casts:
+        if c not in _checked_columns(landing):
             return F.col(c)
-        value = _text(c, landing, mode).try_cast(landing.casts[c])
+        kind = landing.casts.get(c, "string")
+        value = _text(c, landing, mode).try_cast(kind)
+        if c not in landing.casts:
+            value = F.when(~_unfit(c, landing, mode), value)
         if on_bad == "fail":
-            complaint = F.raise_error(_complaint(c, landing, mode)).cast(landing.casts[c])
+            complaint = F.raise_error(_complaint(c, landing, mode)).cast(kind)
             value = F.when(_unfit(c, landing, mode), complaint).otherwise(value)
         return value.alias(c)
 
-    chosen = rows.filter(wanted(landing, mode))
+    chosen = sound_lines(rows, on_bad).filter(wanted(landing, mode))
     if on_bad == "quarantine":
         chosen = chosen.filter(~any_unfit(landing, mode))
     carried = [c for c in _PROVENANCE if c in rows.columns]
@@ -173,6 +194,24 @@ def project(
     return out
 
 
+def sound_lines(rows: DataFrame, on_bad: str = "quarantine") -> DataFrame:
+    """The rows without the lines that could not be read as rows; ``fail``
+    raises on the first of those. Sources that have none lack the column."""
+    if "malformed" not in rows.columns:
+        return rows
+    if on_bad == "fail":
+        complaint = F.concat(F.lit(f"{MALFORMED_LINE}: "), F.col("malformed"))
+        raised = F.raise_error(complaint).cast("string")
+        rows = rows.withColumn("malformed", F.when(F.col("malformed").isNotNull(), raised))
+    return rows.filter(F.col("malformed").isNull())
+
+
+def first_fault(rows: DataFrame, mode: str = "batch") -> str | None:
+    """Why some row would be refused, NULL if all would land."""
+    found = dead_letters(rows, mode=mode).select("error_message", "raw_payload").first()
+    return found and f"{found['error_message']} in {found['raw_payload']}"
+
+
 def pick_rows(projected: DataFrame, landing: Landing, keep: str = "first") -> DataFrame:
     """One row per key, the first or the last to arrive."""
     pick = {"first": first_wins, "last": last_wins}[keep]
@@ -215,15 +254,22 @@ def dead_letters(
     One scan: a row that fails for both tables is exploded into two letters.
     """
     landings = list(landings)
-    failing = [wanted(t, mode) & any_unfit(t, mode) for t in landings]
+    lines = "malformed" in rows.columns
+    sound = F.col("malformed").isNull() if lines else F.lit(True)
+    failing = [sound & wanted(t, mode) & any_unfit(t, mode) for t in landings]
     reasons = [
         F.when(test, F.concat(F.lit(f"{t.name}: "), cast_errors(t, mode)))
         for test, t in zip(failing, landings)
     ]
+    payload = raw_payload()
+    if lines:
+        failing.append(~sound)
+        reasons.append(F.when(~sound, F.lit(MALFORMED_LINE)))
+        payload = F.when(sound, payload).otherwise(F.col("malformed"))
     bad = (
         rows.filter(reduce(or_, failing))
         .withColumn("error_message", F.explode(F.array_compact(F.array(*reasons))))
-        .withColumn("raw_payload", raw_payload())
+        .withColumn("raw_payload", payload)
     )
     return as_dead_letters(bad)
 
@@ -315,9 +361,23 @@ def land_latest(rows: DataFrame, landing: Landing, target: str, mode: str = "bat
     return replace_by_key(picked, target, landing.schema, landing.keys)
 
 
-def land_dead_letters(letters: DataFrame, target: str) -> int:
-    unique = first_wins(letters, ["dlq_id"], ["error_message"])
+NO_TOPIC = "__HIVE_DEFAULT_PARTITION__"
+_LETTERS = StructType(
+    [f for f in schemas.DEAD_LETTERS.fields if f.name != "source_topic"]
+).add("id_prefix", "string")
+
+
+def land_dead_letters(letters: DataFrame, target: str, topic: str | None = None) -> int:
+    """Add new letters of one topic, or of files, to the table of all letters.
+
+    Letters lie by topic and by the first two digits of their id, so only the
+    folders that a batch touches are read, 256 at most, and each stream writes a
+    folder of its own.
+    """
+    folder = f"{target}/source_topic={topic or NO_TOPIC}"
+    letters = letters.withColumn("id_prefix", F.substring("dlq_id", 1, 2))
     batch = None
-    if layers.exists(letters.sparkSession, target):
-        batch = (None, letters.count())
-    return insert_ignore(unique, target, schemas.DEAD_LETTERS, ["dlq_id"], batch=batch)
+    if layers.exists(letters.sparkSession, folder):
+        batch = touched_dates(letters, "id_prefix")
+    unique = first_wins(letters, ["dlq_id"], ["error_message"])
+    return insert_ignore(unique, folder, _LETTERS, ["dlq_id"], "id_prefix", ["dlq_id"], batch)

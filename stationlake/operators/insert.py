@@ -13,43 +13,35 @@ from stationlake.sources import layers
 # Up to this many distinct dates are listed one by one; a batch that touches
 # more is pruned by its date range instead.
 MAX_LISTED_DATES = 400
-# A batch below this many rows may be broadcast (keys only: some 10 MB).
-SMALL_BATCH_ROWS = 200_000
 
 
-def touched_dates(rows: DataFrame, column: str) -> tuple[Column, int]:
-    """A literal filter covering the dates of a batch, and its row count.
+def touched_dates(rows: DataFrame, column: str) -> Column:
+    """A literal filter covering the dates of a batch.
 
     One aggregate over one column. The dates are bounded by the partition rule
     in ``epoch_to_date``; only they reach the driver.
     """
-    per_date = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n")).collect()
-    dates = sorted(r[column] for r in per_date if r[column] is not None)
+    found = [r[column] for r in rows.select(column).distinct().collect()]
+    dates = sorted(d for d in found if d is not None)
     test = F.lit(False)
     if len(dates) > MAX_LISTED_DATES:
         test = F.col(column).between(dates[0], dates[-1])
     elif dates:
         test = F.col(column).isin(dates)
-    if any(r[column] is None for r in per_date):
+    if len(dates) < len(found):
         test = test | F.col(column).isNull()
-    return test, sum(r["n"] for r in per_date)
+    return test
 
 
-def absent_from(
-    new: DataFrame, existing: DataFrame, keys: Sequence[str], small: bool = False
-) -> DataFrame:
+def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing``.
 
-    A small batch is broadcast against the table first, so the table's keys are
-    read but not shuffled; what comes back is no larger than the batch. A large
-    batch meets the table in a plain anti join on the keys it is already
-    partitioned by.
+    The batch is reduced to the keys the table has first: adaptive execution
+    broadcasts a batch that proves small at run time, and the table's keys are
+    then read but not shuffled. What comes back is no larger than the batch.
     """
-    wanted = existing.select(*keys)
-    if small:
-        hits = wanted.join(F.broadcast(new.select(*keys)), list(keys), "left_semi")
-        return new.join(F.broadcast(hits), list(keys), "left_anti")
-    return new.join(wanted, list(keys), "left_anti")
+    hits = existing.select(*keys).join(new.select(*keys), list(keys), "left_semi")
+    return new.join(hits, list(keys), "left_anti")
 
 
 def insert_ignore(
@@ -59,24 +51,21 @@ def insert_ignore(
     keys: Sequence[str],
     partition_by: str | None = None,
     sort: Sequence[str] = (),
-    batch: tuple[Column | None, int] | None = None,
+    batch: Column | None = None,
 ) -> int:
     """Append the rows of ``new`` whose key the table lacks; return how many.
 
-    ``new`` must be unique by key. ``batch`` is the date filter and row count of
-    the batch (see ``touched_dates``): with it only the touched partitions of
-    the table are read. A crash half way through is harmless, as the rows it
+    ``new`` must be unique by key. ``batch`` is the date filter of the batch
+    (see ``touched_dates``): with it only the touched partitions of the table
+    are read. A crash half way through is harmless, as the rows it
     left behind are skipped on the next try. One writer per table.
     """
     spark = new.sparkSession
     if layers.exists(spark, target):
         existing = layers.read_layer(spark, target, schema)
-        pruning, count = batch or (None, None)
-        if pruning is not None:
-            existing = existing.filter(pruning)
-        new = absent_from(
-            new, existing, keys, small=count is not None and count <= SMALL_BATCH_ROWS
-        )
+        if batch is not None:
+            existing = existing.filter(batch)
+        new = absent_from(new, existing, keys)
     new = new.select(*schema.fieldNames())
     if partition_by:
         new = layers.by_partition(new, [partition_by], sort)

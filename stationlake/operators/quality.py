@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.operators.ingest import Landing, any_unfit, wanted
+from stationlake.operators.ingest import Landing, any_unfit, key_text, wanted
 
 Rules = Mapping[str, Column]
 
@@ -70,7 +70,7 @@ def _raw_counts(landing: Landing, mode: str) -> dict[str, Column]:
     relevant = wanted(landing, mode)
     keyless = F.col("station_id").isNull()
     if not landing.info_only:
-        keyless = keyless | F.col("station_status_last_reported").isNull()
+        keyless = keyless | key_text("station_status_last_reported", landing, mode).isNull()
     bad = relevant & any_unfit(landing, mode)
     return {
         "row_count": F.count(F.lit(1)),
@@ -103,8 +103,9 @@ def quality_metrics(
 ) -> DataFrame:
     """One row per metric and dataset.
 
-    ``checked`` pairs each bronze table with its validated rows (all of them,
-    with ``violations``). One partially aggregated pass over the raw rows serves
+    ``checked`` pairs each bronze table with the validated rows that this load
+    landed (with ``violations``): rates compare them with the load's raw rows.
+    One partially aggregated pass over the raw rows serves
     all datasets, one more runs over each dataset's validated rows; only their
     single result rows meet.
     """

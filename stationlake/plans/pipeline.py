@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +15,15 @@ from pyspark.sql import functions as F
 from stationlake import schemas
 from stationlake.functions.scalars import BULK_NULLS, partition_date
 from stationlake.operators import control, quality
-from stationlake.operators.ingest import INFO, STATUS, dead_letters, land, land_dead_letters
+from stationlake.operators.ingest import (
+    INFO,
+    STATUS,
+    dead_letters,
+    first_fault,
+    land,
+    land_dead_letters,
+    sound_lines,
+)
 from stationlake.plans import gold, gold_sql, silver, silver_sql
 from stationlake.sources import layers
 from stationlake.sources.csv_feed import read_feed_csv, sample_first_m
@@ -21,6 +31,7 @@ from stationlake.sources.messages import (
     TOPIC_INFO,
     TOPIC_STATUS,
     encode_messages,
+    write_kafka,
     write_message_dir,
 )
 
@@ -89,6 +100,7 @@ class Config:
     force_gold: bool = False
     use_stream: bool = False
     epoch_unit: str = "s"
+    multi_line: bool = False
 
 
 def _stored_rows(spark: SparkSession, *paths: str) -> int:
@@ -105,8 +117,13 @@ def build_bronze(spark: SparkSession, cfg: Config) -> str:
         return cfg.lake.raw
     if cfg.csv is None:
         raise ValueError("bronze is missing and no CSV folder was given")
-    feed = read_feed_csv(spark, cfg.csv, max_files=cfg.max_files)
-    return layers.write_layer(feed, cfg.lake.raw, force=True)
+    feed = read_feed_csv(
+        spark, cfg.csv, max_files=cfg.max_files, multi_line=cfg.multi_line
+    )
+    letters = dead_letters(feed, [])
+    layers.write_layer(sound_lines(feed).drop("malformed"), cfg.lake.raw, force=True)
+    land_dead_letters(letters, cfg.lake.dlq)
+    return cfg.lake.raw
 
 
 def build_silver(spark: SparkSession, cfg: Config, bronze: str) -> tuple[str, str]:
@@ -183,15 +200,32 @@ def load_batch(
     max_files: str | int | None = None,
     on_bad: str = "quarantine",
     epoch_unit: str = "s",
+    multi_line: bool = False,
+    log: bool = True,
 ) -> dict[str, int]:
     """Load CSV files into the two bronze tables; known keys are skipped.
 
     The text is parsed once, into a stage that each load replaces; status, info
-    and dead letters then read only their columns from it.
+    and dead letters then read only their columns from it. Under ``fail`` the
+    stage is checked for both tables before either is written. The run log gets
+    the load; ``loaded_by_file`` tells what it inserted.
     """
-    feed = read_feed_csv(spark, paths, BULK_NULLS, max_files)
-    layers.write_layer(feed, lake.stage, force=True)
-    stage = layers.read_layer(spark, lake.stage, schemas.RAW_LAYER)
+    logged = control.logged_run(spark, lake.log, f"{NAME}_load", "BRONZE") if log else nullcontext({})
+    with logged as run:
+        feed = read_feed_csv(spark, paths, BULK_NULLS, max_files, multi_line)
+        layers.write_layer(feed, lake.stage, force=True)
+        stage = layers.read_layer(spark, lake.stage, schemas.STAGE)
+        fault = first_fault(stage) if on_bad == "fail" else None
+        if fault:
+            raise ValueError(fault)
+        loaded = _land_stage(spark, stage, lake, on_bad, epoch_unit)
+        run["rows"] = loaded["status"] + loaded["info"]
+    return loaded
+
+
+def _land_stage(
+    spark: SparkSession, stage: DataFrame, lake: Lake, on_bad: str, epoch_unit: str
+) -> dict[str, int]:
     jobs = {
         "status": lambda: land(stage, STATUS, lake.status, "batch", on_bad, epoch_unit),
         "info": lambda: land(stage, INFO, lake.info, "batch", on_bad, epoch_unit),
@@ -203,6 +237,29 @@ def load_batch(
     return loaded
 
 
+def loaded_by_file(spark: SparkSession, lake: Lake, since: datetime) -> DataFrame:
+    """table, source_file, rows_loaded: what landed from a time on, as from the
+    start of a load, per file."""
+    found = None
+    for name, table in bronze_tables(spark, lake).items():
+        counts = control.load_counts(control.landed_since(table, since)).select(
+            F.lit(name).alias("table"), "source_file", "rows_loaded"
+        )
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+def last_load(spark: SparkSession, lake: Lake) -> datetime | None:
+    """When the last batch load began, from the run log."""
+    if not layers.exists(spark, lake.log):
+        return None
+    log = layers.read_layer(spark, lake.log, schemas.RUN_LOG)
+    loads = log.filter(
+        (F.col("pipeline_name") == f"{NAME}_load") & (F.col("status") == "RUNNING")
+    )
+    return loads.agg(F.max("run_ts")).first()[0]
+
+
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     return {
         INFO.name: layers.read_or_empty(spark, lake.info, INFO.schema),
@@ -216,9 +273,17 @@ def produce(
     topic_dir: str,
     max_files: str | int | None = None,
     max_rows: int | None = None,
+    multi_line: bool = False,
+    kafka: str | None = None,
+    dlq: str | None = None,
 ) -> dict[str, int]:
-    """Send CSV rows as messages to the topic directories; return rows sent."""
-    feed = read_feed_csv(spark, paths, (), max_files)
+    """Send CSV rows as messages to the topic directories, or to Kafka; return
+    rows sent. Lines that are no rows go to the dead letters at ``dlq``; without
+    one the first of them raises."""
+    feed = read_feed_csv(spark, paths, (), max_files, multi_line)
+    if dlq:
+        land_dead_letters(dead_letters(feed, []), dlq)
+    feed = sound_lines(feed, "quarantine" if dlq else "fail").drop("malformed")
     if max_rows is not None:
         feed = sample_first_m(feed, max_rows)
     sent = Observation()
@@ -229,25 +294,50 @@ def produce(
     messages = encode_messages(feed).observe(
         sent, rows_of(TOPIC_STATUS).alias("status"), rows_of(TOPIC_INFO).alias("info")
     )
-    write_message_dir(messages, topic_dir)
+    if kafka:
+        write_kafka(messages, kafka)
+    else:
+        write_message_dir(messages, topic_dir)
     return dict(sent.get)
 
 
 def build_warehouse(
-    spark: SparkSession, lake: Lake, raw: DataFrame | None = None, epoch_unit: str = "s"
+    spark: SparkSession,
+    lake: Lake,
+    raw: DataFrame | None = None,
+    epoch_unit: str = "s",
+    since: datetime | None = None,
 ) -> dict[str, str]:
-    """Silver and gold of the SQL model from the bronze tables.
+    """Silver and gold of the SQL model from the bronze tables, as logged runs.
 
     The station information is stored before the status joins it, so that
     Catalyst knows its size. Rejected rows are stored with the rules they
-    break. With ``raw`` (the rows the load was made from) the data-quality
-    audit log gets one more set of metrics.
+    break; each checked gold table is computed once and split the same way.
+    With ``raw`` (the rows the load was made from) the data-quality audit log
+    gets one more set of metrics; ``since``, the start of that load, keeps
+    earlier loads out of its rates.
     """
     paths: dict[str, str] = {}
+    with control.logged_run(spark, lake.log, f"{NAME}_warehouse", "SILVER") as run:
+        info_all, info, status_all, status = _warehouse_silver(spark, lake, epoch_unit, paths)
+        run["rows"] = info.count() + status.count()
+    with control.logged_run(spark, lake.log, f"{NAME}_warehouse", "GOLD") as run:
+        run["rows"] = _warehouse_gold(spark, lake, info, status, paths)
+        if raw is not None:
+            landed = [
+                (landing, rows if since is None else rows.filter(F.col("bronze_ingested_at") >= F.lit(since)))
+                for landing, rows in ((STATUS, status_all), (INFO, info_all))
+            ]
+            metrics = quality.quality_metrics(raw, landed)
+            paths["gold_data_quality"] = lake.at("gold", "gold_data_quality")
+            quality.as_audit_rows(metrics).write.mode("append").parquet(paths["gold_data_quality"])
+    return paths
+
 
-    def store(df: DataFrame, layer: str, name: str) -> DataFrame:
-        paths[name] = lake.at(layer, name)
-        return layers.stored(df, paths[name])
+def _warehouse_silver(
+    spark: SparkSession, lake: Lake, epoch_unit: str, paths: dict[str, str]
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """All checked and all valid rows, of station information and of status."""
 
     def store_checked(checked: DataFrame, name: str, by: list[str]) -> tuple:
         """One write for accepted and rejected rows; each is a folder of its own."""
@@ -272,21 +362,31 @@ def build_warehouse(
         ["date"],
     )
 
-    availability = gold_sql.station_availability(status, info)
-    tables = {
-        "gold_station_availability": availability,
-        "gold_station_summary": gold_sql.station_summary(status, info),
-        "gold_region_summary": gold_sql.region_summary(quality.kept(availability)),
-        "gold_station_daily": gold_sql.station_daily(status, info),
-    }
-    breaches = None
-    for name, checked_gold in tables.items():
-        store(gold_sql.as_table(quality.kept(checked_gold)), "gold", name)
-        found = quality.violation_rows(checked_gold, name, gold_sql.KEYS[name])
+    return info_all, info, status_all, status
+
+
+def _warehouse_gold(
+    spark: SparkSession, lake: Lake, info: DataFrame, status: DataFrame, paths: dict[str, str]
+) -> int:
+    """Store the gold tables and what breaks their bounds; rows of the tables."""
+    breaches, rows = None, 0
+
+    def store(name: str, computed: DataFrame) -> DataFrame:
+        """Kept and withheld rows from one computation."""
+        nonlocal breaches, rows
+        checked = layers.stored(computed, lake.at("gold", f"{name}_checked"))
+        good = quality.kept(checked)
+        paths[name] = lake.at("gold", name)
+        layers.stored(gold_sql.as_table(good), paths[name])
+        rows += good.count()
+        found = quality.violation_rows(checked, name, gold_sql.KEYS[name])
         breaches = found if breaches is None else breaches.unionByName(found)
-    store(breaches, "gold", "bounds_violations")
-    if raw is not None:
-        metrics = quality.quality_metrics(raw, [(STATUS, status_all), (INFO, info_all)])
-        paths["gold_data_quality"] = lake.at("gold", "gold_data_quality")
-        quality.as_audit_rows(metrics).write.mode("append").parquet(paths["gold_data_quality"])
-    return paths
+        return good
+
+    availability = store("gold_station_availability", gold_sql.station_availability(status, info))
+    store("gold_station_summary", gold_sql.station_summary(status, info))
+    store("gold_region_summary", gold_sql.region_summary(availability))
+    store("gold_station_daily", gold_sql.station_daily(status, info))
+    paths["bounds_violations"] = lake.at("gold", "bounds_violations")
+    layers.stored(breaches, paths["bounds_violations"])
+    return rows

@@ -53,7 +53,13 @@ def station_dimension(parsed: DataFrame, pick: str = "first") -> DataFrame:
         fixed = [c for c in schemas.DIMENSION_COLUMNS if c != "station_name"]
         found = first_non_null(rows, "station_id", "station_name", fixed)
     elif pick == "latest":
-        found = latest_non_null(rows, "station_id", schemas.DIMENSION_COLUMNS, "info_updated_at")
+        found = latest_non_null(
+            rows,
+            "station_id",
+            schemas.DIMENSION_COLUMNS[0],
+            schemas.DIMENSION_COLUMNS[1:],
+            "info_updated_at",
+        )
     else:
         raise ValueError(f"pick must be 'first' or 'latest', not {pick!r}")
     return found.select("station_id", *schemas.DIMENSION_COLUMNS)

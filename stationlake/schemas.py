@@ -29,6 +29,22 @@ RAW_COLUMNS = [
 # aggregate per source (see operators/firsts.py).
 ARRIVAL = ["arrival_source", "arrival_pos"]
 
+# The two topics.
+TOPIC_STATUS = "station-status"
+TOPIC_INFO = "station-info"
+
+# The longest texts that the tables take.
+TEXT_LENGTHS = {
+    "station_id": 50,
+    "station_name": 200,
+    "region_id": 20,
+    "has_kiosk": 5,
+    "missing_station_information": 5,
+    "is_installed": 5,
+    "is_renting": 5,
+    "is_returning": 5,
+}
+
 COUNT_COLUMNS = [
     "num_bikes_available",
     "num_ebikes_available",
@@ -75,6 +91,12 @@ ARRIVAL_COLUMNS = "arrival_source STRING, arrival_pos BIGINT"
 RAW_LAYER = struct(
     ", ".join(f"{c} STRING" for c in RAW_COLUMNS) + ", source_file STRING, " + ARRIVAL_COLUMNS
 )
+# A stage also has the lines that are no rows.
+STAGE = struct(
+    ", ".join(f"{c} STRING" for c in RAW_COLUMNS)
+    + ", malformed STRING, source_file STRING, "
+    + ARRIVAL_COLUMNS
+)
 
 PROVENANCE_COLUMNS = (
     "ingested_at TIMESTAMP, source_file STRING, source_mode STRING, event_id STRING, "
@@ -92,6 +114,8 @@ BRONZE_INFO = struct(
     "station_information_last_updated BIGINT, missing_station_information STRING, "
     + PROVENANCE_COLUMNS
 )
+# One folder per topic, so that every stream writes a folder of its own, and per
+# start of the id below it.
 DEAD_LETTERS = struct(
     "dlq_id STRING, event_id STRING, source_topic STRING, partition_num INT, "
     "kafka_offset BIGINT, error_message STRING, error_ts TIMESTAMP, raw_payload STRING"

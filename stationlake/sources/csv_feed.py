@@ -6,12 +6,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlake import schemas
 from stationlake.functions.scalars import FEED_NULLS, normalize_nulls
 from stationlake.sources import layers
 
 
+_WITH_MALFORMED = T.StructType([*schemas.RAW.fields, T.StructField("malformed", T.StringType())])
+
+
 def file_limit(setting: str | int | None) -> int | None:
     """``0``, ``all`` or nothing means every file; else at least one file."""
     if setting is None or str(setting).strip().lower() in ("0", "all", ""):
@@ -43,6 +47,10 @@ def read_feed_csv(
 ) -> DataFrame:
     """All-text scan of the feed plus file name and arrival order.
 
+    A line that is no row of 18 fields (too many, too few, a broken quote) has
+    its text in ``malformed``, which is NULL for rows. Without ``multi_line`` a
+    line break within quotes makes two such lines; with it files are not split.
+
     The position of a row is the start of its split plus its number in its task.
     A split that is not its file's last is as large as Spark allows and so comes
     first in its task; as every row takes at least one byte, its positions stay
@@ -50,7 +58,9 @@ def read_feed_csv(
     """
     files = list_feed(spark, paths, max_files)
     raw = (
-        spark.read.schema(schemas.RAW)
+        spark.read.schema(_WITH_MALFORMED)
+        .option("columnNameOfCorruptRecord", "malformed")
+        .option("columnPruning", False)
         .option("header", True)
         .option("enforceSchema", False)
         .option("quote", '"')
@@ -65,6 +75,7 @@ def read_feed_csv(
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     rows = raw.select(
         *schemas.RAW_COLUMNS,
+        "malformed",
         F.col("_metadata.file_name").alias("source_file"),
         F.col(f"_metadata.file_{'name' if one_folder else 'path'}").alias("arrival_source"),
         (F.col("_metadata.file_block_start") + row_in_task).alias("arrival_pos"),

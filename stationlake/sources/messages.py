@@ -13,10 +13,8 @@ from pyspark.sql import types as T
 from stationlake import schemas
 from stationlake.functions.predicates import has_info_strict
 from stationlake.functions.scalars import PRODUCER_NULLS, normalize_nulls
-from stationlake.operators.ingest import ROW_BITS
-
-TOPIC_STATUS = "station-status"
-TOPIC_INFO = "station-info"
+from stationlake.schemas import TOPIC_INFO, TOPIC_STATUS
+from stationlake.sources import layers
 
 # Fixed value: rows per message.
 ROWS_PER_MESSAGE = 2000
@@ -82,7 +80,9 @@ def decode_messages(messages: DataFrame) -> DataFrame:
 
     Unknown fields are dropped and numbers become text, both by the declared
     row schema. A message that is no JSON array of rows gives one row of NULLs
-    with its text in ``malformed``; an empty array gives none.
+    with its text in ``malformed``, and so does every NULL in an array; an empty
+    array gives none. Arrival is by partition and offset, then by place in the
+    array.
     """
     text = F.col("value").cast("string")
     parsed = messages.select(
@@ -92,24 +92,35 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         "topic",
         "partition",
         "offset",
-        F.when(F.col("rows").isNull(), F.coalesce("text", F.lit(""))).alias("malformed"),
+        F.coalesce("text", F.lit("")).alias("text"),
         F.posexplode_outer("rows").alias("pos", "data"),
     )
     pos = F.coalesce("pos", F.lit(0)).cast("bigint")
     return exploded.select(
         "data.*",
-        "malformed",
+        F.when(F.col("data").isNull(), F.col("text")).alias("malformed"),
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
-        F.lpad(F.col("partition").cast("string"), 10, "0").alias("arrival_source"),
-        (F.shiftleft("offset", ROW_BITS) + pos).alias("arrival_pos"),
+        F.format_string("%010d/%019d", "partition", "offset").alias("arrival_source"),
+        pos.alias("arrival_pos"),
     )
 
 
 def write_message_dir(messages: DataFrame, path: str) -> dict[str, str]:
-    """Append messages to one directory per topic; return the directories."""
+    """Append messages to one directory per topic; return the directories.
+
+    Offsets go on from the largest stored per topic and partition, so that a
+    message's place is its own whatever was sent before. One producer at a time.
+    """
     columns = schemas.MESSAGES.fieldNames()
+    spark = messages.sparkSession
+    if layers.exists(spark, path):
+        stored = spark.read.schema(schemas.MESSAGES).parquet(path)
+        ends = stored.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("from"))
+        messages = messages.join(ends, ["topic", "partition"], "left").withColumn(
+            "offset", F.col("offset") + F.coalesce("from", F.lit(0))
+        )
     messages.select(*columns).write.mode("append").partitionBy("topic").parquet(path)
     return {topic: f"{path}/topic={topic}" for topic in (TOPIC_STATUS, TOPIC_INFO)}
 

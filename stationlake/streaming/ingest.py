@@ -8,12 +8,16 @@ No state is kept; the table itself is the record of what was seen.
 
 from __future__ import annotations
 
+import time
+from contextlib import nullcontext
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake import schemas
+from stationlake.operators import control
 from stationlake.operators.ingest import (
     INFO,
     MALFORMED,
@@ -64,7 +68,7 @@ def land_messages(
         )
         letters = ready.filter(F.col("error_message").isNotNull())
         if not letters.isEmpty():
-            land_dead_letters(as_dead_letters(letters), dlq)
+            land_dead_letters(as_dead_letters(letters), dlq, landing.topic)
         return landed
     finally:
         ready.unpersist()
@@ -79,15 +83,24 @@ def start_ingest_stream(
     on_bad: str = "quarantine",
     available_now: bool = False,
     interval: str = "5 seconds",
+    epoch_unit: str = "s",
+    log: str | None = None,
 ) -> StreamingQuery:
     """Start landing a message stream. ``available_now`` drains what is there
     and stops; otherwise a micro-batch runs per ``interval``.
 
-    One writer per table: give every stream its own ``dlq`` path.
+    One writer per table; all streams share the table of dead letters, where
+    each has a folder of its own. With ``log`` every micro-batch is logged there.
     """
 
     def land_batch(batch: DataFrame, _batch_id: int) -> None:
-        land_messages(batch, landing, target, dlq, on_bad)
+        logged = (
+            control.logged_run(batch.sparkSession, log, f"stream_{landing.name}", "BRONZE")
+            if log
+            else nullcontext({})
+        )
+        with logged as run:
+            run["rows"] = land_messages(batch, landing, target, dlq, on_bad, epoch_unit)
 
     writer = messages.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -138,8 +151,12 @@ def drain(*queries: StreamingQuery) -> None:
         query.awaitTermination()
 
 
-def stop_gracefully(*queries: StreamingQuery) -> None:
-    """Land what has arrived, then stop."""
+def stop_gracefully(*queries: StreamingQuery, patience: float = 600.0) -> None:
+    """Let running micro-batches end, then stop; what arrives later waits for the
+    next start. A batch that takes longer than ``patience`` seconds is cut off
+    and replayed then."""
+    until = time.monotonic() + patience
     for query in queries:
-        query.processAllAvailable()
+        while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+            time.sleep(0.05)
         query.stop()

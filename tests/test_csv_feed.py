@@ -1,9 +1,14 @@
+from datetime import datetime, timezone
+
 import pytest
 from conftest import SOUND
 from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.functions.scalars import BULK_NULLS, FEED_NULLS
+from stationlake.operators.ingest import INFO, MALFORMED_LINE
+from stationlake.plans.pipeline import Lake, load_batch, loaded_by_file
+from stationlake.sources import layers
 from stationlake.sources.csv_feed import (
     file_limit,
     list_feed,
@@ -111,3 +116,59 @@ def test_written_feed_reads_back(spark, raw, tmp_path):
 def test_peek(raw):
     feed = raw(*({"station_id": str(i)} for i in range(9)))
     assert [r.station_id for r in peek(feed.repartition(5), 3).collect()] == ["0", "1", "2"]
+
+
+RAGGED = "9,1,2,3,4,5,6,7,8,1700000000"
+
+
+@pytest.fixture
+def ragged_feed(write_csv, tmp_path):
+    """Two sound rows, one too long, one too short, one with a line break in quotes."""
+    folder = tmp_path / "feed"
+    write_csv(folder, "a.csv", {}, {"station_id": "2", "station_name": '"A\nB"'})
+    path = folder / "a.csv"
+    long = path.read_text(encoding="utf-8").splitlines()[1] + ",x,y"
+    path.write_text(path.read_text(encoding="utf-8") + f"{long}\n{RAGGED}\n", encoding="utf-8")
+    return str(folder)
+
+
+def test_lines_that_are_no_rows_become_dead_letters(spark, ragged_feed, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    loaded = load_batch(spark, ragged_feed, lake)
+    assert (loaded["status"], loaded["info"], loaded["dead_letters"]) == (1, 1, 4)
+    letters = layers.read_layer(spark, lake.dlq, schemas.DEAD_LETTERS)
+    texts = [r.raw_payload for r in letters.collect()]
+    assert RAGGED in texts and any(t.endswith(",x,y") for t in texts)
+    assert {r.error_message for r in letters.collect()} == {MALFORMED_LINE}
+
+
+def test_multi_line_fields_are_read_on_demand(spark, ragged_feed, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    loaded = load_batch(spark, ragged_feed, lake, multi_line=True)
+    assert (loaded["info"], loaded["dead_letters"]) == (2, 2)
+    info = layers.read_layer(spark, lake.info, INFO.schema)
+    assert "A\nB" in [r.station_name for r in info.collect()]
+
+
+def test_fail_writes_nothing(spark, write_csv, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    feed = write_csv(tmp_path / "feed", "a.csv", {}, {"station_id": "2", "capacity": "big"})
+    with pytest.raises(ValueError, match="capacity is not int: big"):
+        load_batch(spark, feed, lake, on_bad="fail")
+    assert not any(layers.exists(spark, p) for p in (lake.status, lake.info, lake.watermark))
+    log = layers.read_layer(spark, lake.log, schemas.RUN_LOG)
+    assert sorted(r.status for r in log.collect()) == ["FAILED", "RUNNING"]
+
+
+def test_rows_of_a_load_are_counted_by_file(spark, write_csv, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    feed = write_csv(tmp_path / "feed", "a.csv", {})
+    load_batch(spark, feed, lake)
+    write_csv(tmp_path / "feed", "b.csv", {"station_id": "x" * 51}, {"station_id": "3"})
+    started = datetime.now(timezone.utc)
+    assert load_batch(spark, feed, lake)["dead_letters"] == 2
+    counts = loaded_by_file(spark, lake, started).collect()
+    assert sorted((r.table, r.source_file, r.rows_loaded) for r in counts) == [
+        ("bronze_station_information", "b.csv", 1),
+        ("bronze_station_status", "b.csv", 1),
+    ]

@@ -4,6 +4,7 @@ from conftest import SOUND, rows
 from pyspark.sql import functions as F
 
 from stationlake import schemas
+from stationlake.operators.ingest import event_id
 from stationlake.sources import messages
 
 
@@ -56,6 +57,37 @@ def test_odd_messages(spark):
     assert rows(bad, "kafka_offset", "malformed") == [(2, "{broken"), (3, ""), (4, "7")]
 
 
+def test_a_null_in_an_array_is_malformed(spark):
+    text = json.dumps([SOUND, None])
+    decoded = messages.decode_messages(message_frame(spark, text))
+    assert rows(decoded.filter("malformed IS NOT NULL"), "malformed", "arrival_pos") == [(text, 1)]
+    assert decoded.filter("malformed IS NULL").count() == 1
+
+
+def test_places_of_rows_are_their_own(spark):
+    """Rows of neighbouring messages keep their order and get ids of their own."""
+    text = json.dumps([SOUND] * 3)
+    decoded = messages.decode_messages(message_frame(spark, text, text, first_offset=9))
+    marked = decoded.select(*schemas.ARRIVAL, event_id().alias("event_id"), "kafka_offset")
+    assert marked.select("event_id").distinct().count() == 6
+    in_order = marked.orderBy(*schemas.ARRIVAL).collect()
+    assert [(r.kafka_offset, r.arrival_pos) for r in in_order] == [
+        (o, p) for o in (9, 10) for p in range(3)
+    ]
+
+
+def test_offsets_go_on_with_the_next_production(spark, raw, tmp_path):
+    path = str(tmp_path / "topics")
+    for name in ("oops", "worse"):
+        messages.write_message_dir(
+            messages.encode_messages(raw({"num_bikes_available": name}), ordered_partitions=1), path
+        )
+    stored = messages.read_message_dir(spark, f"{path}/topic=station-status", messages.TOPIC_STATUS)
+    assert rows(stored, "partition", "offset") == [(0, 0), (0, 1)]
+    decoded = messages.decode_messages(stored)
+    assert decoded.select(event_id()).distinct().count() == 2
+
+
 def test_binary_values_decode(spark):
     frame = message_frame(spark, json.dumps([SOUND])).withColumn("value", F.encode("value", "utf-8"))
     assert messages.decode_messages(frame).first().station_name == "Main St"
