@@ -14,7 +14,7 @@ import pyarrow as pa
 from stationlake.llm.common import WHITESPACE_BYTES
 
 SHINGLE = 5
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)

@@ -31,11 +31,11 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import step, text_of
-from stationlake.llm.hashing import Powers, blocks, mix, part_hashes, sums, text_bytes
+from stationlake.llm.hashing import Powers, blocks, part_hashes, sums, text_bytes
 from stationlake.llm.runs import common, front_coded, merged
 
 LENGTH = 400
@@ -45,8 +45,10 @@ SAMPLE_PER_PART = 24
 _WINDOW = LENGTH - CORE + 1
 _CHUNK = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)
-_ID = "<qqqHH"
-_SALT = np.uint64(0x2545F4914F6CDD1D)
+_ID = "<qqHH"
+_BLOCK = 1 << 20
+#: A range is kept as one number: its start times this, plus its length.
+_SPAN = 1 << 16
 
 
 # --- anchors ----------------------------------------------------------------
@@ -76,11 +78,12 @@ def _pieces(texts: list[bytes]):
 
 def segments_of(texts: list[bytes], powers: Powers) -> dict[str, np.ndarray]:
     """All segments: row (text), start, strings (how many), anchor (offset in
-    the segment), core and two hashes of the whole segment."""
+    the segment), and hashes of the core and of the whole segment, which
+    together name the segment by 128 bits."""
     pieces = list(_pieces(texts))
-    names = ["row", "start", "strings", "anchor", "core", "seg_a", "seg_b"]
+    names = ["row", "start", "strings", "anchor", "core", "segment"]
     found: list[list[np.ndarray]] = []
-    for part in blocks(np.array([len(p) for _, _, p in pieces])):
+    for part in blocks(np.array([len(p) for _, _, p in pieces]), _BLOCK):
         chosen = pieces[part]
         data = np.frombuffer(b"".join(p for _, _, p in chosen), np.uint8)
         lengths = np.array([len(p) for _, _, p in chosen])
@@ -99,11 +102,6 @@ def segments_of(texts: list[bytes], powers: Powers) -> dict[str, np.ndarray]:
         strings = np.diff(np.r_[np.flatnonzero(new), len(places)])
         owner = np.searchsorted(begins, first, "right") - 1
         ends = first + strings - 1 + LENGTH
-        # A second sum over scattered bytes makes the pair of hashes 128 bits.
-        scattered = mix(data.astype(np.uint64) + _SALT)
-        up, down = powers.upto(len(data) + 1)
-        second = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(scattered * up[: len(data)], out=second[1:])
         found.append(
             [
                 np.array([i for i, _, _ in chosen])[owner],
@@ -112,10 +110,9 @@ def segments_of(texts: list[bytes], powers: Powers) -> dict[str, np.ndarray]:
                 own[new] - first,
                 cores[own[new]].view(np.int64),
                 part_hashes(total, first, ends, powers).view(np.int64),
-                mix((second[ends] - second[first]) * down[first]).view(np.int64),
             ]
         )
-    columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 7
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 6
     return dict(zip(names, columns, strict=True))
 
 
@@ -133,14 +130,14 @@ def _anchored(batches):
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("string")
     return docs.select(
-        F.col("doc_id").cast("long"), F.unhex(F.md5(text_of(text))).alias("digest"), text.alias("text")
+        F.col("doc_id").cast("long"), F.xxhash64(text_of(text)).alias("digest"), text.alias("text")
     )
 
 
 _ANCHORS = (
-    "doc_id long, digest binary, start long, strings long, anchor long, core long, seg_a long, seg_b long"
+    "doc_id long, digest long, start long, strings long, anchor long, core long, segment long"
 )
-_SEGMENT = ["core", "seg_a", "seg_b"]
+_SEGMENT = ["core", "segment"]
 
 
 # --- segments that differ: sort, exchange, merge -----------------------------
@@ -152,12 +149,12 @@ def _cut_out(batches):
         asked = batch["asked"].to_pylist()
         for text, wanted in zip(text_bytes(batch["text"]), asked, strict=True):
             rows = [
-                (w["core"], w["seg_a"], w["seg_b"], w["anchor"], w["strings"],
+                (w["core"], w["segment"], w["anchor"], w["strings"],
                  text[w["start"] : w["start"] + w["strings"] - 1 + LENGTH])
                 for w in wanted
             ]
             columns = list(zip(*rows, strict=True))
-            kinds = [pa.int64()] * 5 + [pa.binary()]
+            kinds = [pa.int64()] * 4 + [pa.binary()]
             names = [*_SEGMENT, "anchor", "strings", "bytes"]
             yield pa.record_batch(
                 {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)}
@@ -178,7 +175,7 @@ def _samples(share: float):
             keys = [
                 (order, _order_key(r["core"], r["anchor"], r["bytes"], order))
                 for r in batch.to_pylist()
-                if (r["seg_a"] & 0xFFFFFFFF) < bar
+                if (r["segment"] & 0xFFFFFFFF) < bar
                 for order in (0, 1)
             ]
             yield pa.record_batch(
@@ -200,7 +197,7 @@ def _sorted_runs(splitters: list[list[bytes]]):
         for number, batch in enumerate(batches):
             slots: dict[int, list[tuple[bytes, bytes]]] = {}
             for r in batch.to_pylist():
-                payload = struct.pack(_ID, r["core"], r["seg_a"], r["seg_b"], r["anchor"], r["strings"])
+                payload = struct.pack(_ID, r["core"], r["segment"], r["anchor"], r["strings"])
                 for order in (0, 1):
                     key = _order_key(r["core"], r["anchor"], r["bytes"], order)
                     part = bisect.bisect_right(splitters[order], key)
@@ -223,8 +220,8 @@ class _Neighbours:
         self.order, self.last, self.rows = order, None, []
 
     def add(self, key: bytes, shared: int, payload: bytes) -> None:
-        core, seg_a, seg_b, anchor, strings = struct.unpack(_ID, payload)
-        item = {"key": key, "id": (core, seg_a, seg_b), "anchor": anchor, "strings": strings, "reach": 0, "sure": []}
+        core, segment, anchor, strings = struct.unpack(_ID, payload)
+        item = {"key": key, "id": (core, segment), "anchor": anchor, "strings": strings, "reach": 0, "sure": []}
         last = self.last
         if last and last["id"] == item["id"]:
             return
@@ -255,7 +252,7 @@ class _Neighbours:
 
 
 _MERGED = (
-    "slot long, core long, seg_a long, seg_b long, anchor long, strings long, order int, reach long, "
+    "slot long, core long, segment long, anchor long, strings long, order int, reach long, "
     "sure array<struct<low:long,high:long>>, edge binary"
 )
 
@@ -267,8 +264,7 @@ def _as_rows(slot: int | None, order: int, items: list[dict], edges: bool) -> pa
         {
             "slot": pa.array([slot] * n, pa.int64()),
             "core": pa.array([x["id"][0] for x in items], pa.int64()),
-            "seg_a": pa.array([x["id"][1] for x in items], pa.int64()),
-            "seg_b": pa.array([x["id"][2] for x in items], pa.int64()),
+            "segment": pa.array([x["id"][1] for x in items], pa.int64()),
             "anchor": pa.array([x["anchor"] for x in items], pa.int64()),
             "strings": pa.array([x["strings"] for x in items], pa.int64()),
             "order": pa.array([order] * n, pa.int32()),
@@ -311,7 +307,7 @@ def neighbours(segments: DataFrame) -> DataFrame:
     for order in (0, 1):
         across = _Neighbours(order)
         for r in sorted((r for r in ends if r["slot"] % 2 == order), key=lambda r: (r["edge"])):
-            payload = struct.pack(_ID, r["core"], r["seg_a"], r["seg_b"], r["anchor"], r["strings"])
+            payload = struct.pack(_ID, r["core"], r["segment"], r["anchor"], r["strings"])
             last = across.last
             across.add(r["edge"], common(last["key"], r["edge"]) if last else 0, payload)
         extra.append(_as_rows(None, order, across.finished(), False))
@@ -323,31 +319,26 @@ def neighbours(segments: DataFrame) -> DataFrame:
 
 
 def _string_hashes(batches):
-    """Two hashes of every string in question."""
+    """A hash of every string in question; its core makes that 128 bits."""
     powers = Powers()
     for batch in batches:
         for r in batch.to_pylist():
             data = np.frombuffer(r["bytes"], np.uint8)
             at = np.arange(r["low"], r["high"] + 1)
             total = sums(data, powers)
-            up, down = powers.upto(len(data) + 1)
-            second = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(mix(data.astype(np.uint64) + _SALT) * up[: len(data)], out=second[1:])
             n = len(at)
             yield pa.record_batch(
                 {
                     "core": pa.array([r["core"]] * n, pa.int64()),
-                    "seg_a": pa.array([r["seg_a"]] * n, pa.int64()),
-                    "seg_b": pa.array([r["seg_b"]] * n, pa.int64()),
+                    "segment": pa.array([r["segment"]] * n, pa.int64()),
                     "at": pa.array(at, pa.int64()),
-                    "hash_a": pa.array(part_hashes(total, at, at + LENGTH, powers).view(np.int64)),
-                    "hash_b": pa.array(mix((second[at + LENGTH] - second[at]) * down[at]).view(np.int64)),
+                    "hash": pa.array(part_hashes(total, at, at + LENGTH, powers).view(np.int64)),
                 }
             )
 
 
 def _repeated_strings(segments: DataFrame) -> DataFrame:
-    """core, seg_a, seg_b, low, high: ranges of strings of these segments, by
+    """core, segment, low, high: ranges of strings of these segments, by
     their place in the segment, that another of them has too."""
     near = neighbours(segments)
     reach = lambda order: F.coalesce(F.max(F.when(F.col("order") == order, F.col("reach"))), F.lit(0))
@@ -381,16 +372,14 @@ def _repeated_strings(segments: DataFrame) -> DataFrame:
         .select(*_SEGMENT, "low", "high")
         .join(segments.select(*_SEGMENT, "bytes"), _SEGMENT)
     )
-    hashed = asked.mapInArrow(
-        _string_hashes, "core long, seg_a long, seg_b long, at long, hash_a long, hash_b long"
+    hashed = asked.mapInArrow(_string_hashes, "core long, segment long, at long, hash long")
+    twice = (
+        hashed.groupBy("core", "hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("core", "hash")
     )
-    places = F.struct("seg_a", "seg_b", "at")
-    counted = hashed.groupBy("core", "hash_a", "hash_b").agg(
-        F.count(F.lit(1)).alias("n"), F.min(places).alias("first"), F.max(places).alias("last")
-    )
-    # All members of a repeated hash, not only the first and last, are repeats.
-    twice = counted.filter("n > 1").select("core", "hash_a", "hash_b")
-    more = hashed.join(twice, ["core", "hash_a", "hash_b"], "left_semi").select(
+    more = hashed.join(twice, ["core", "hash"], "left_semi").select(
         *_SEGMENT, F.col("at").alias("low"), F.col("at").alias("high")
     )
     return sure.unionByName(more)
@@ -400,13 +389,12 @@ def _repeated_strings(segments: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (md5 of the text), ranges: byte ranges (low, end) to remove."""
+    """doc_id, digest (a hash of the text), ranges: byte ranges to remove, as
+    numbers (see ``_SPAN``)."""
     keyed = _keyed(docs)
     anchors = step(keyed.mapInArrow(_anchored, _ANCHORS), "anchors")
-    repeated = anchors.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = step(anchors.join(repeated.select("core"), "core", "left_semi"), "shared-anchors")
     distinct = step(
-        shared.groupBy(*_SEGMENT).agg(
+        anchors.groupBy(*_SEGMENT).agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.struct("doc_id", "digest", "start", "strings", "anchor")).alias("sample"),
         ),
@@ -427,38 +415,31 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         keyed.join(wanted, same)
         .select("text", "asked")
         .mapInArrow(
-            _cut_out, "core long, seg_a long, seg_b long, anchor long, strings long, bytes binary"
+            _cut_out, "core long, segment long, anchor long, strings long, bytes binary"
         ),
         "segments",
     )
     whole = distinct.filter("n > 1").select(
         *_SEGMENT, F.lit(0).cast("long").alias("low"), (F.col("sample.strings") - 1).alias("high")
     )
-    ranges = (
-        whole.unionByName(_repeated_strings(segments))
-        .groupBy(*_SEGMENT)
-        .agg(F.collect_list(F.struct("low", "high")).alias("found"))
-    )
-    placed = F.transform(
-        "found",
-        lambda r: F.struct(
-            (F.col("start") + r["low"]).alias("low"), (F.col("start") + r["high"] + LENGTH).alias("end")
-        ),
-    )
+    ranges = whole.unionByName(_repeated_strings(segments)).distinct()
+    low = F.col("start") + F.col("low")
+    length = F.col("high") - F.col("low") + LENGTH
     return step(
-        shared.select("doc_id", "digest", "start", *_SEGMENT)
+        anchors.select("doc_id", "digest", "start", *_SEGMENT)
         .join(ranges, _SEGMENT)
-        .select("doc_id", "digest", placed.alias("ranges"))
+        .select("doc_id", "digest", (low * _SPAN + length).alias("range"))
         .groupBy("doc_id", "digest")
-        .agg(F.flatten(F.collect_list("ranges")).alias("ranges")),
+        .agg(F.collect_list("range").alias("ranges")),
         "repeated-ranges",
     )
 
 
 def united(ranges) -> list[tuple[int, int]]:
-    """Overlapping or touching ranges made one."""
+    """Ranges as (low, end), overlapping or touching ones made one."""
     out: list[list[int]] = []
-    for low, end in sorted(ranges):
+    for low, length in (divmod(r, _SPAN) for r in sorted(ranges)):
+        end = low + length
         if out and low <= out[-1][1]:
             out[-1][1] = max(out[-1][1], end)
         else:
@@ -470,7 +451,7 @@ def _kept(batches):
     for batch in batches:
         rows = []
         for text, ranges in zip(text_bytes(batch["text"]), batch["ranges"].to_pylist(), strict=True):
-            gone = united((r["low"], r["end"]) for r in ranges or [])
+            gone = united(ranges or [])
             starts, ends = [0, *(b for _, b in gone)], [*(a for a, _ in gone), len(text)]
             kept = b"".join(text[a:b] for a, b in zip(starts, ends, strict=True))
             rows.append((len(text), len(text) - len(kept), len(gone), kept))
@@ -500,5 +481,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    kept: Column = F.sha2("kept", 256)
-    return without_repeats(docs).withColumn("kept_sha256", kept).drop("kept")
+    return without_repeats(docs).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
