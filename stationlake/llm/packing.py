@@ -21,7 +21,6 @@ are packed as often as they occur. Where texts are equal their pieces are too.
 from __future__ import annotations
 
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,24 +51,33 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.held, self.known = held, {"": ()}
+        self.held = held
+        self.known: dict[str, bytes] = {"": b""}  # stretches to ids, four bytes each
+        self.roots: dict[str, bytes] = {}  # words and marks they are made of
         # Bytes as the letters that byte-level vocabularies write them with.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = (b for b in range(256) if b not in shown)
         self.letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
 
-    def _word(self, part: str) -> tuple[int, ...]:
+    def _stretch(self, part: str) -> bytes:
         """One stretch: letters with marks after them go straight to the model."""
         bare = part.rstrip(_MARKS)
-        if bare.isalpha() and max(bare) < "ƀ" and "İ" not in bare:
-            low = bare.lower()
-            if not low.isascii():
-                low = low.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(low)]
-            if len(bare) < len(part):
-                ids += self._encoded(part[len(bare) :])
-            return tuple(ids)
-        return tuple(self._encoded(part))
+        if not bare.isalpha() or not (bare.isascii() or (max(bare) < "ƀ" and "İ" not in bare)):
+            return self._root(part, self._encoded)
+        if len(bare) == len(part):
+            return self._root(bare.lower(), self._word)
+        return self._root(bare.lower(), self._word) + self._root(part[len(bare) :], self._encoded)
+
+    def _root(self, text: str, encode) -> bytes:
+        found = self.roots.get(text)
+        if found is None:
+            found = self.roots[text] = np.array(encode(text), "<u4").tobytes()
+        return found
+
+    def _word(self, low: str) -> list[int]:
+        if not low.isascii():
+            low = low.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(low)]
 
     def _encoded(self, part: str) -> list[int]:
         return self.tokenizer.encode(part, add_special_tokens=False).ids
@@ -78,10 +86,10 @@ class WordTokenizer:
         known = self.known
         parts = text.replace("\n", " ").split(" ")
         for part in set(parts).difference(known):
-            known[part] = self._word(part)
-        found = np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.int32)
+            known[part] = self._stretch(part)
+        found = np.frombuffer(b"".join(map(known.__getitem__, parts)), "<u4")
         if len(known) > self.held:
-            self.known = {"": ()}
+            self.known, self.roots = {"": b""}, {}
         return found
 
 
