@@ -299,12 +299,12 @@ def _linked_blocks(rows: pa.Table) -> pa.Table:
     column = rows["shingles"].combine_chunks()
     lists = [column[i].values.to_numpy() for i in range(len(column))]
     others = [i for i, a in enumerate(asks) if not a]
-    sizes = np.array([len(lists[i]) for i in others])
+    sizes = np.array([len(lists[i]) for i in others], np.int64)
     owner = np.repeat(np.arange(len(others)), sizes)
     content = np.concatenate([lists[i] for i in others]) if others else np.empty(0, np.int64)
     order = np.argsort(content, kind="stable")
     content, owner = content[order], owner[order]
-    labels = np.array([hash(components_[i]) for i in others])
+    labels = np.array([hash(components_[i]) for i in others], np.int64)
     found = set()
     for i in (i for i, a in enumerate(asks) if a):
         own = lists[i]
