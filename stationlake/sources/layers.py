@@ -23,6 +23,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing reads any more."""
+    fs, hadoop_path = _path(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """A finished Spark write leaves a marker; a crashed one does not."""
     return exists(spark, f"{path}/_SUCCESS")
