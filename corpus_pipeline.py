@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stationlake.llm import line_dedup, minhash, mixing, packing, toxicity
 from stationlake.llm.catalog import vocabulary
-from stationlake.llm.common import DOCUMENT_COLUMNS, documents, step, table
+from stationlake.llm.common import DOCUMENT_COLUMNS, documents, forget, step, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,5 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(*DOCUMENT_COLUMNS)
     for name, stage in STAGES:
-        docs = step(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, step(stage(spark, docs, sf_dir), f"stage-{name}")
+        if name != STAGES[0][0]:
+            forget(before)
     return docs

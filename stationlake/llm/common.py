@@ -46,4 +46,14 @@ def bound(value: Column, body) -> Column:
 def step(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: it is
     computed once, its size is known, and lost executors cost nothing."""
-    return layers.stored(df, fresh_dir(df.sparkSession, label))
+    path = fresh_dir(df.sparkSession, label)
+    table = layers.stored(df, path)
+    table._stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete intermediate tables that nothing will read again, once what was
+    made from them is stored itself."""
+    for stored in tables:
+        layers.remove(stored.sparkSession, stored._stored_at)

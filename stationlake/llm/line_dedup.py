@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import WHITESPACE_BYTES, step, text_of
+from stationlake.llm.common import WHITESPACE_BYTES, forget, step, text_of
 from stationlake.llm.cuckoo import CuckooFilter, as_keys
 from stationlake.llm.hashing import text_bytes
 
@@ -109,7 +109,9 @@ def new_state(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> LineState:
     """The state of a first load, with shards of about ``SHARD_KEYS`` keys."""
     counts = step(line_counts(docs), "line-counts")
     shards = max(1, -(-counts.filter(F.col("refs") >= min_documents).count() // SHARD_KEYS))
-    return _merged(empty_state(docs.sparkSession, shards, min_documents), counts)
+    state = _merged(empty_state(docs.sparkSession, shards, min_documents), counts)
+    forget(counts)
+    return state
 
 
 def added(state: LineState, docs: DataFrame) -> LineState:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import step, text_of
+from stationlake.llm.common import forget, step, text_of
 from stationlake.llm.hashing import Powers, blocks, shingle_sets, text_bytes
 
 BANDS, ROWS = 20, 4
@@ -153,6 +153,7 @@ def components(links: DataFrame) -> DataFrame:
         ),
         "labels",
     )
+    stored = labels
     while True:
         near = (
             both.join(labels.select(F.col("class").alias("b"), "component"), "b")
@@ -169,8 +170,11 @@ def components(links: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        labels = moved.select("class", "component")
-        if moved.filter(F.col("old") != F.col("component")).isEmpty():
+        settled = moved.filter(F.col("old") != F.col("component")).isEmpty()
+        forget(stored)
+        labels, stored = moved.select("class", "component"), moved
+        if settled:
+            forget(both)
             return labels
 
 
@@ -225,7 +229,9 @@ def class_components(docs: DataFrame, drawn: DataFrame) -> DataFrame:
     led = leaders.select("bucket", F.col("leader.class").alias("class"))
     rest = members.join(led, ["bucket", "class"], "left_anti").join(labels, "class", "left")
     more = step(_across(rest.withColumn("component", F.coalesce("component", "class")), sets), "more-links")
-    if more.isEmpty():
+    none = more.isEmpty()
+    forget(shared, members, sets, links)
+    if none:
         return labels
     # The components so far are the nodes of a smaller graph.
     joined = components(more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import step, text_of, words_of
+from stationlake.llm.common import forget, step, text_of, words_of
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
@@ -174,7 +174,9 @@ def cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 def mixing_plan(sizes: DataFrame) -> DataFrame:
     """The stored plan, one row per source. ``sizes``: source, size, digest."""
     targets = step(source_targets(sizes), "mix-targets")
-    return step(cuts(sizes, targets), "mix-plan")
+    plan = step(cuts(sizes, targets), "mix-plan")
+    forget(targets)
+    return plan
 
 
 def allot(sizes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -220,7 +222,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     if aside:  # names that clash with working columns travel in a struct
         docs = docs.select(F.struct(*names).alias("document"), "doc_id", "text", "source")
         names = ["document.*"]
-    plan = mixing_plan(step(sized(docs, ["source"]), "mix-sizes"))
+    sizes = step(sized(docs, ["doc_id", "source"]).drop("doc_id"), "mix-sizes")
+    plan = mixing_plan(sizes)
+    forget(sizes)
     return (
         allot(sized(docs), plan)
         .filter(F.col("copies") > 0)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import step, text_of
+from stationlake.llm.common import forget, step, text_of
 from stationlake.llm.hashing import Powers, blocks, part_hashes, sums, text_bytes
 from stationlake.llm.runs import common, front_coded, merged
 
@@ -425,7 +425,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     ranges = whole.unionByName(_repeated_strings(segments)).distinct()
     low = F.col("start") + F.col("low")
     length = F.col("high") - F.col("low") + LENGTH
-    return step(
+    found = step(
         anchors.select("doc_id", "digest", "start", *_SEGMENT)
         .join(ranges, _SEGMENT)
         .select("doc_id", "digest", (low * _SPAN + length).alias("range"))
@@ -433,6 +433,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
         .agg(F.collect_list("range").alias("ranges")),
         "repeated-ranges",
     )
+    forget(anchors, distinct, segments)
+    return found
 
 
 def united(ranges) -> list[tuple[int, int]]:

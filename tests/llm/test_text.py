@@ -7,6 +7,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from llm_text import by_id, make, odd_rows, prose, words  # noqa: F401
 from tokenizers import Tokenizer
@@ -252,14 +254,29 @@ def test_components_are_those_of_all_pairs(make, odd_rows, near_rows):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
-def test_blocks_find_links_that_leaders_miss(make, near_rows, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 500)
-    monkeypatch.setattr(minhash, "confirmed", lambda pairs, sets: pairs.limit(0))
-    found = minhash.near_duplicates(make(near_rows))
-    got = {r.doc_id: r.component_id for r in found.collect()}
-    want = {i: c for i, _, c, _ in linked(near_rows)}
-    # Only links of leaders are gone; everything else still meets in blocks.
-    assert sum(got[i] == want[i] for i in want) > 0.8 * len(want)
+def test_blocks_find_every_link_between_components():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 1 << 62, 200)
+    sets = [np.sort(np.r_[base[: 200 - 3 * k], rng.integers(0, 1 << 62, 3 * k)]) for k in range(14)]
+    names = [bytes([k]) * 16 for k in range(14)]
+    rows = [(k, asks) for k in range(14) for asks in ([False, True] if k % 2 else [False])]
+    table = pa.table(
+        {
+            "component": pa.array([names[k // 2] for k, _ in rows], pa.binary()),
+            "asks": pa.array([a for _, a in rows]),
+            "shingles": pa.array([sets[k] for k, _ in rows], pa.list_(pa.int64())),
+        }
+    )
+    got = set(map(tuple, zip(*(c.to_pylist() for c in minhash._linked_blocks(table).columns), strict=True)))
+    want = set()
+    for a in range(1, 14, 2):
+        for b in range(14):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if a // 2 != b // 2 and 100 * both >= 85 * (400 - both):
+                want.add((names[a // 2], names[b // 2]))
+    assert got == want and want
+    for only in (True, False):
+        assert minhash._linked_blocks(table.filter(pc.equal(table["asks"], only))).num_rows == 0
 
 
 def test_circulant_signature_estimates_jaccard():
