@@ -43,7 +43,7 @@ RULES = [
     Rule("few_words", 0, "n_words < 20"),
     Rule("repeated_windows", 1, "100 * n_repeat_words > 30 * n_words"),
     Rule("symbols", 2, "10 * n_symbols > n_words"),
-    Rule("repeated_lines", 3, "n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", 3, "n_lines >= 4 AND 2 * n_dup_lines > n_lines"),
     Rule("short_words", 4, "word_chars < 2 * n_words"),
     Rule("long_words", 5, "word_chars > 15 * n_words"),
 ]
