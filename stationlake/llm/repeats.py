@@ -145,20 +145,17 @@ _SEGMENT = ["core", "segment"]
 
 def _cut_out(batches):
     """The bytes of asked segments."""
+    names = [*_SEGMENT, "anchor", "strings", "bytes"]
+    kinds = [pa.int64()] * 4 + [pa.binary()]
     for batch in batches:
-        asked = batch["asked"].to_pylist()
-        for text, wanted in zip(text_bytes(batch["text"]), asked, strict=True):
-            rows = [
-                (w["core"], w["segment"], w["anchor"], w["strings"],
-                 text[w["start"] : w["start"] + w["strings"] - 1 + LENGTH])
-                for w in wanted
-            ]
-            columns = list(zip(*rows, strict=True))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            names = [*_SEGMENT, "anchor", "strings", "bytes"]
-            yield pa.record_batch(
-                {n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)}
-            )
+        rows = [
+            (w["core"], w["segment"], w["anchor"], w["strings"],
+             text[w["start"] : w["start"] + w["strings"] - 1 + LENGTH])
+            for text, wanted in zip(text_bytes(batch["text"]), batch["asked"].to_pylist(), strict=True)
+            for w in wanted
+        ]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        yield pa.record_batch({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds, strict=True)})
 
 
 def _order_key(core: int, anchor: int, data: bytes, order: int) -> bytes:
@@ -322,17 +319,22 @@ def _string_hashes(batches):
     """A hash of every string in question; its core makes that 128 bits."""
     powers = Powers()
     for batch in batches:
-        for r in batch.to_pylist():
-            data = np.frombuffer(r["bytes"], np.uint8)
-            at = np.arange(r["low"], r["high"] + 1)
-            total = sums(data, powers)
-            n = len(at)
+        rows = batch.to_pylist()
+        for part in blocks(np.array([len(r["bytes"]) for r in rows], np.int64), _BLOCK):
+            chosen = rows[part]
+            data = np.frombuffer(b"".join(r["bytes"] for r in chosen), np.uint8)
+            lengths = np.array([len(r["bytes"]) for r in chosen])
+            counts = np.array([r["high"] - r["low"] + 1 for r in chosen])
+            owner = np.repeat(np.arange(len(chosen)), counts)
+            at = np.concatenate([np.arange(r["low"], r["high"] + 1) for r in chosen])
+            start = (np.cumsum(lengths) - lengths)[owner] + at
+            hashes = part_hashes(sums(data, powers), start, start + LENGTH, powers)
             yield pa.record_batch(
                 {
-                    "core": pa.array([r["core"]] * n, pa.int64()),
-                    "segment": pa.array([r["segment"]] * n, pa.int64()),
-                    "at": pa.array(at, pa.int64()),
-                    "hash": pa.array(part_hashes(total, at, at + LENGTH, powers).view(np.int64)),
+                    "core": pa.array(np.array([r["core"] for r in chosen])[owner]),
+                    "segment": pa.array(np.array([r["segment"] for r in chosen])[owner]),
+                    "at": pa.array(at),
+                    "hash": pa.array(hashes.view(np.int64)),
                 }
             )
 
