@@ -70,5 +70,6 @@ QUERIES = {
 ORACLE = {
     "op2_url_filters": url_lists.ORACLE,
     "op5_line_dedup": line_dedup.ORACLE,
+    "op7_quality_rules": quality_ledger.ORACLE,
     "op8_mixing": mixing.ORACLE,
 }

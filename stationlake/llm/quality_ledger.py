@@ -183,3 +183,41 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return ledger(docs).withColumns(
         {"base_failed": ~verdict(BASE), "kept": verdict(POLICIES[CURRENT_POLICY])}
     )
+
+
+ORACLE = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS k
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM docs)),
+repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM windows) WHERE c > 1),
+covered AS (
+  SELECT r, sum(n) AS n FROM (
+    SELECT r, least(8, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 8)) AS n FROM repeated)
+  GROUP BY r),
+measured AS (
+  SELECT docs.r, doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines,
+         coalesce(covered.n, 0) AS n_repeat_words
+  FROM docs LEFT JOIN covered ON covered.r = docs.r),
+rules AS (
+  SELECT *, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines FROM measured),
+bits AS (
+  SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
+    + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
+    + (CASE WHEN n_lines >= 4 AND 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END)
+    + (CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END)
+    + (CASE WHEN word_chars > 15 * n_words THEN 32 ELSE 0 END) AS failed
+  FROM rules)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+       n_symbols::BIGINT AS n_symbols, n_lines::BIGINT AS n_lines, n_dup_lines::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, failed::BIGINT AS failed,
+       failed & 3 <> 0 AS base_failed, failed = 0 AS kept
+FROM bits
+"""
