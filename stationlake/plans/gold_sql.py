@@ -86,7 +86,11 @@ def station_availability(status: DataFrame, info: DataFrame) -> DataFrame:
         ),
         "last_reported_ts",
     )
-    return with_violations(current, between(0, 100, "availability_pct"))
+    rules = {
+        **between(0, 100, "availability_pct"),
+        **between(0, 1, "is_installed", "is_renting", "is_returning"),
+    }
+    return with_violations(current, rules)
 
 
 def station_summary(status: DataFrame, info: DataFrame) -> DataFrame:
