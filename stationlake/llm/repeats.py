@@ -316,7 +316,8 @@ def neighbours(segments: DataFrame) -> DataFrame:
 
 
 def _string_hashes(batches):
-    """A hash of every string in question; its core makes that 128 bits."""
+    """A hash of every string in question; its core makes that 128 bits. Those
+    that a neighbour settled are marked: others may equal them."""
     powers = Powers()
     for batch in batches:
         rows = batch.to_pylist()
@@ -329,12 +330,18 @@ def _string_hashes(batches):
             at = np.concatenate([np.arange(r["low"], r["high"] + 1) for r in chosen])
             start = (np.cumsum(lengths) - lengths)[owner] + at
             hashes = part_hashes(sums(data, powers), start, start + LENGTH, powers)
+            known = np.zeros(len(at), bool)
+            for r, end, n in zip(chosen, np.cumsum(counts), counts, strict=True):
+                for s in r["sure"]:
+                    first = max(s["low"] - r["low"], 0)
+                    known[end - n + first : end - n + max(first, min(s["high"] - r["low"] + 1, n))] = True
             yield pa.record_batch(
                 {
                     "core": pa.array(np.array([r["core"] for r in chosen])[owner]),
                     "segment": pa.array(np.array([r["segment"] for r in chosen])[owner]),
                     "at": pa.array(at),
                     "hash": pa.array(hashes.view(np.int64)),
+                    "known": pa.array(known),
                 }
             )
 
@@ -371,17 +378,17 @@ def _repeated_strings(segments: DataFrame) -> DataFrame:
     asked = (
         known.filter("low <= high")
         .join(open_cores, "core", "left_semi")
-        .select(*_SEGMENT, "low", "high")
+        .select(*_SEGMENT, "low", "high", "sure")
         .join(segments.select(*_SEGMENT, "bytes"), _SEGMENT)
     )
-    hashed = asked.mapInArrow(_string_hashes, "core long, segment long, at long, hash long")
+    hashed = asked.mapInArrow(_string_hashes, "core long, segment long, at long, hash long, known boolean")
     twice = (
         hashed.groupBy("core", "hash")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("core", "hash")
     )
-    more = hashed.join(twice, ["core", "hash"], "left_semi").select(
+    more = hashed.filter(~F.col("known")).join(twice, ["core", "hash"], "left_semi").select(
         *_SEGMENT, F.col("at").alias("low"), F.col("at").alias("high")
     )
     return sure.unionByName(more)
