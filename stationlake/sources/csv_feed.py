@@ -75,7 +75,10 @@ def read_feed_csv(
     row_in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     rows = raw.select(
         *schemas.RAW_COLUMNS,
-        "malformed",
+        # Spark refuses to read this column alone, so it takes another along.
+        F.when(
+            F.col("malformed").isNotNull() | (F.length("station_id") < 0), F.col("malformed")
+        ).alias("malformed"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col(f"_metadata.file_{'name' if one_folder else 'path'}").alias("arrival_source"),
         (F.col("_metadata.file_block_start") + row_in_task).alias("arrival_pos"),
