@@ -189,4 +189,4 @@ def test_command_line(spark, csv, lake, capsys):
     capsys.readouterr()
     main(["report", *root])
     report = capsys.readouterr().out
-    assert "| 2 files | - | 6 |" in report and "| stream |" in report and "Best batch" in report
+    assert "| 2 files | - | 6 |" in report and "| stream |" in report and "best batch rate" in report
