@@ -14,6 +14,8 @@ from stationlake.llm import line_dedup, minhash, mixing, packing, toxicity
 from stationlake.llm.catalog import vocabulary
 from stationlake.llm.common import DOCUMENT_COLUMNS, documents, forget, step, table
 
+NEAR_PERCENT = 80  # of the union of five-word shingles; op9 has a bound of its own
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
@@ -27,7 +29,7 @@ def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, NEAR_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,9 @@ blocks, set against set within a task, and only links between components leave
 the task. Every pair of a bucket is therefore confirmed, refuted, or already
 connected, and no bucket meets in one task.
 
-Two documents at the threshold share a bucket with probability
-``1 - (1 - 0.739 ** ROWS) ** BANDS`` = 0.9999992 (Jaccard 0.85).
+What counts as alike is a parameter, in percent of the union. Two documents at
+Jaccard J share a bucket with probability ``1 - (1 - J ** ROWS) ** BANDS``:
+0.9999996 at 0.85, 0.99997 at 0.80.
 
 Results: documents without words are linked with nothing. ``component_id`` is
 the smallest non-null doc_id of the component; a row is ``kept`` if it carries
@@ -33,7 +34,7 @@ from stationlake.llm.common import forget, step, text_of
 from stationlake.llm.hashing import Powers, blocks, shingle_sets, text_bytes
 
 BANDS, ROWS = 20, 4
-THRESHOLD = 85  # percent of the union
+THRESHOLD = 85  # percent of the union, unless a caller asks for another
 _SLICE = 4096
 BLOCK_SHINGLES = 400_000
 
@@ -128,16 +129,17 @@ def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _alike(a: Column, b: Column) -> Column:
+def _alike(a: Column, b: Column, threshold: int) -> Column:
     both = F.size(F.array_intersect(a, b))
-    return 100 * both >= THRESHOLD * (F.size(a) + F.size(b) - both)
+    return 100 * both >= threshold * (F.size(a) + F.size(b) - both)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs (a, b) whose full sets reach the threshold."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").filter(_alike(F.col("sa"), F.col("sb"))).select("a", "b")
+    alike = _alike(F.col("sa"), F.col("sb"), threshold)
+    return pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -178,10 +180,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept, class."""
     drawn = step(sketches(docs), "sketches")
-    labels = class_components(docs, drawn)
+    labels = class_components(docs, drawn, threshold)
     by_class = (
         drawn.filter(F.col("class").isNotNull())
         .groupBy("class")
@@ -203,7 +205,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def class_components(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+def class_components(docs: DataFrame, drawn: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(class, component) of the classes that are linked with another one."""
     classes = (
         drawn.filter(F.col("class").isNotNull())
@@ -224,11 +226,12 @@ def class_components(docs: DataFrame, drawn: DataFrame) -> DataFrame:
     leaders = members.groupBy("bucket").agg(
         F.max_by(F.struct("class", "n"), F.struct("typical", "class")).alias("leader")
     )
-    links = step(confirmed(_against(members, leaders), sets), "star-links")
+    links = step(confirmed(_against(members, leaders, threshold), sets, threshold), "star-links")
     labels = components(links)
     led = leaders.select("bucket", F.col("leader.class").alias("class"))
     rest = members.join(led, ["bucket", "class"], "left_anti").join(labels, "class", "left")
-    more = step(_across(rest.withColumn("component", F.coalesce("component", "class")), sets), "more-links")
+    rest = rest.withColumn("component", F.coalesce("component", "class"))
+    more = step(_across(rest, sets, threshold), "more-links")
     none = more.isEmpty()
     forget(shared, members, sets, links)
     if none:
@@ -245,7 +248,7 @@ def class_components(docs: DataFrame, drawn: DataFrame) -> DataFrame:
     )
 
 
-def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
+def _across(rest: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """Links (x, y) between components that share a bucket.
 
     ``rest``: bucket, class, n, component, without the classes that were
@@ -290,16 +293,20 @@ def _across(rest: DataFrame, sets: DataFrame) -> DataFrame:
         F.pmod(place, F.col("chunks")).alias("chunk"),
         F.lit(True).alias("asks"),
     )
+
+    def linked(rows: pa.Table) -> pa.Table:
+        return _linked_blocks(rows, threshold)
+
     return (
         stay.unionByName(asking)
         .join(sets, "class")
         .groupBy("bucket", "block", "chunk")
-        .applyInArrow(_linked_blocks, "x binary, y binary")
+        .applyInArrow(linked, "x binary, y binary")
         .distinct()
     )
 
 
-def _linked_blocks(rows: pa.Table) -> pa.Table:
+def _linked_blocks(rows: pa.Table, threshold: int = THRESHOLD) -> pa.Table:
     """Components (x, y) with a link between the asking rows and the others."""
     components_, asks = rows["component"].to_pylist(), rows["asks"].to_pylist()
     column = rows["shingles"].combine_chunks()
@@ -318,7 +325,7 @@ def _linked_blocks(rows: pa.Table) -> pa.Table:
         lengths = np.searchsorted(content, own, "right") - low
         steps = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         both = np.bincount(owner[np.repeat(low, lengths) + steps], minlength=len(others))
-        linked = 100 * both >= THRESHOLD * (sizes + len(own) - both)
+        linked = 100 * both >= threshold * (sizes + len(own) - both)
         linked &= labels != hash(components_[i])
         for j in np.flatnonzero(linked):
             found.add((components_[i], components_[others[j]]))
@@ -331,12 +338,12 @@ def _linked_blocks(rows: pa.Table) -> pa.Table:
     )
 
 
-def _against(members: DataFrame, leaders: DataFrame) -> DataFrame:
+def _against(members: DataFrame, leaders: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs of leaders with the members of their buckets, a < b,
     without those whose sizes alone rule out a link."""
     other = F.col("leader.class")
     sizes = F.array("n", "leader.n")
-    fits = (F.col("class") != other) & (100 * F.array_min(sizes) >= THRESHOLD * F.array_max(sizes))
+    fits = (F.col("class") != other) & (100 * F.array_min(sizes) >= threshold * F.array_max(sizes))
     return (
         members.join(leaders, "bucket")
         .filter(fits)
@@ -345,14 +352,14 @@ def _against(members: DataFrame, leaders: DataFrame) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One document of each component: the one with the smallest doc_id.
 
     Of several rows with that doc_id the one with the least text digest stays;
     of rows equal in both, any one. Documents without words all stay, but for
     rows equal in doc_id and text.
     """
-    found = near_duplicates(docs).filter("kept")
+    found = near_duplicates(docs, threshold).filter("kept")
     keeper = F.min(F.struct("doc_id", "digest")).alias("keeper")
     alone = F.when(F.col("component").isNull(), F.struct("doc_id", "digest"))
     keepers = found.groupBy("component", alone.alias("alone")).agg(keeper).select("keeper.*")
