@@ -5,13 +5,28 @@ them every long token is read in the smallest alphabet that holds it, and tested
 for three things that random strings show and words do not: uniform use of the
 alphabet (chi-squared), changes between its lower and upper half (runs), and no
 correlation of neighbours (serial). Fisher's sum of the three p-values is the
-token's ``deviance``, small for random strings.
-
-Short tokens pass such tests by chance, the more so the shorter they are. So
-each token has a decoy: as many letters of the text around it, read in the same
-alphabet. Per alphabet and length class, a bound on the deviance is set so that
-decoys below it are at most ``FALSE_SHARE`` of the tokens below it; tokens within
-the bound are reported as ``random``, unless they touch a known form.
+token's ``deviance``, small for random strings: theirs is chi-squared with six
+degrees of freedom.
+
+Short tokens pass such tests by chance, the more so the shorter they are. How
+often, two things tell:
+
+* Theory: a string of as many letters with the frequencies of ``LETTERS`` has a
+  chi-squared value that is noncentral. It bounds the probability that such a
+  string has a deviance as small as the token's. The bound goes by length and
+  alphabet, so it means the same in all classes and needs no other token.
+* Decoys: as many letters of the text before a token, read in the same alphabet,
+  get the same bound. Counted per alphabet and length class, or over neighbouring
+  length classes where they are few, they correct it.
+
+A class's p-value counts its decoys and one more, of which the theoretical part
+lies below. A token without enough letters before it has no decoy, and its
+p-value is never less than the theoretical one. One cut is made for all classes
+together, so that at most ``FALSE_SHARE`` of what lies below it is expected to be
+false (Benjamini and Hochberg, p-values weighted by the odds that a class's token
+is not random, as in Hu, Zhao and Zhou's grouped form). Tokens below it are reported as ``random``,
+unless they touch a known form; those whose deviance random strings reach with a
+probability below ``RANDOM_LEVEL`` never are.
 
 All of it is built-in functions over arrays; spans are code points, end
 exclusive. NULL texts are empty. What is kept between the passes is one row per
@@ -20,14 +35,23 @@ document with its matches.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake.llm.common import bound, step, text_of
 
 FALSE_SHARE = 0.05
+RANDOM_LEVEL = 1e-4
+FEW_DECOYS = 100
+PRIOR = 5  # tokens with the corpus's share of random ones that each class is given
+BINS_PER_DECADE = 20  # of theoretical p-values
+LEAST_P = 1e-30
 LEAST_TOKEN = 20
 TOKEN = f"[A-Za-z0-9+/_=-]{{{LEAST_TOKEN},}}"
 CONTEXT = 4  # decoys are taken from so many times the token's length before it
@@ -65,6 +89,20 @@ ALPHABETS = {
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
     "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_=",
 }
+#: Percent of English text, a to z.
+LETTERS = [
+    8.17, 1.49, 2.78, 4.25, 12.7, 2.23, 2.02, 6.09, 6.97, 0.15, 0.77, 4.03, 2.41,
+    6.75, 7.51, 1.93, 0.1, 5.99, 6.33, 9.06, 2.76, 0.98, 2.36, 0.15, 1.97, 0.07,
+]
+
+
+def _excess(size: int) -> float:
+    """Noncentrality a symbol of such letters in an alphabet of that size."""
+    shares = [sum(LETTERS[s::size]) / sum(LETTERS) for s in range(size)]
+    return size * sum(p * p for p in shares) - 1
+
+
+EXCESS = {name: _excess(len(letters)) for name, letters in ALPHABETS.items()}
 #: Upper ends of the length classes.
 LENGTHS = [24, 32, 48, 64, 96, 128, 1 << 30]
 
@@ -186,6 +224,41 @@ def deviance(token: Column) -> Column:
     return bound(token, battery)
 
 
+def _score(found: Column, encoding: Column, length: Column, size: Column) -> Column:
+    """Decades of the theoretical p-value of a deviance; 0 for what is not random.
+
+    A deviance of at most d needs a uniformity p-value of at least exp(-d / 2),
+    so a chi-squared value of at most c; what letters have is noncentral
+    (Wilson and Hilferty's form for it by Abdel-Aty).
+    """
+
+    def decades(v: Column) -> Column:
+        half, free = v["d"] / 2, v["k"] - 1
+        random = F.exp(-half) * (1 + half + half * half / 2)
+        # The normal quantile of exp(-d / 2): the root of _upper_tail's cubic.
+        odds = F.log(F.greatest(F.expm1(half), F.lit(1e-12)))
+        a, b = 1.5976 / 0.07056, odds / 0.07056
+        z = 2 * math.sqrt(a / 3) * F.sinh(F.asinh(3 * b / (2 * a) * math.sqrt(3 / a)) / 3)
+        root = F.greatest(1 - 2 / (9 * free) + z * F.sqrt(2 / (9 * free)), F.lit(0.0))
+        most = free * root * root * root
+        mean = free + v["n"] * v["excess"]
+        freedom = mean * mean / (mean + v["n"] * v["excess"])
+        y = (F.cbrt(most / mean) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
+        low = 1 / (1 + F.exp(F.least(-(1.5976 * y + 0.07056 * y * y * y), F.lit(700.0))))
+        return F.when(random >= RANDOM_LEVEL, -F.log10(F.greatest(low, F.lit(LEAST_P)))).otherwise(0.0)
+
+    pairs = (F.lit(x) for item in EXCESS.items() for x in item)
+    return bound(
+        F.struct(
+            found.alias("d"),
+            size.cast("double").alias("k"),
+            length.cast("double").alias("n"),
+            F.element_at(F.create_map(*pairs), encoding).alias("excess"),
+        ),
+        decades,
+    )
+
+
 def _symbols(value: Column, letters: Column) -> Column:
     return F.transform(F.split(value, ""), lambda c: F.instr(letters, c) - 1)
 
@@ -206,7 +279,7 @@ def _length_class(length: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Every long token: (first, end, encoding, length_class, deviance, decoy)."""
+    """Every long token: (first, end, encoding, length_class, score, decoy)."""
 
     def tested(m: Column) -> Column:
         encoding, length = _encoding(m["value"]), F.length(m["value"])
@@ -218,18 +291,18 @@ def tokens(text: Column) -> Column:
             reach = CONTEXT * length
             around = F.substring(text, F.greatest(m["first"] - reach, F.lit(0)) + 1, F.least(reach, m["first"]))
             decoy = _decoy(around, F.length(p["bare"]), size)
+
+            def score(symbols: Column) -> Column:
+                found = deviance(F.struct(symbols.alias("symbols"), size.alias("size")))
+                return _score(found, p["encoding"], F.length(p["bare"]), size)
+
             return F.struct(
                 m["first"].alias("first"),
                 m["end"].alias("end"),
                 p["encoding"].alias("encoding"),
                 _length_class(length).alias("length_class"),
-                deviance(
-                    F.struct(_symbols(p["bare"], letters).alias("symbols"), size.alias("size"))
-                ).alias("deviance"),
-                F.when(
-                    F.size(decoy) >= F.length(p["bare"]),
-                    deviance(F.struct(decoy.alias("symbols"), size.alias("size"))),
-                ).alias("decoy"),
+                score(_symbols(p["bare"], letters)).alias("score"),
+                F.when(F.size(decoy) >= F.length(p["bare"]), score(decoy)).alias("decoy"),
             )
 
         return bound(F.struct(encoding.alias("encoding"), bare.alias("bare")), parts)
@@ -238,39 +311,77 @@ def tokens(text: Column) -> Column:
     return F.transform(usable, tested)
 
 
-def bounds(found: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
-    """Per encoding and length class the largest deviance that keeps the share
-    of decoys within ``false_share``.
+def _bin(score: Column) -> Column:
+    return F.floor(score * BINS_PER_DECADE).cast("int")
 
-    Deviances are counted in bins of a tenth first: at most 1,700 rows a class,
-    whatever the corpus. Decoys get one more, as their number is an estimate.
-    """
-    each = found.select(F.explode("tokens").alias("t")).select(
-        "t.encoding", "t.length_class", "t.deviance", "t.decoy"
-    )
-    scored = F.explode(
-        F.array(
-            F.struct(F.ceil(F.col("deviance") * 10).alias("bin"), F.lit(1).alias("token"), F.lit(0).alias("decoy")),
-            F.struct(
-                F.ceil(F.coalesce("decoy", F.lit(1e3)) * 10).alias("bin"),
-                F.lit(0).alias("token"),
-                F.lit(1).alias("decoy"),
-            ),
-        )
-    )
-    counted = (
-        each.select("encoding", "length_class", scored.alias("s"))
-        .groupBy("encoding", "length_class", "s.bin")
+
+def counts(found: DataFrame) -> DataFrame:
+    """Tokens by encoding, length_class, has_decoy, and bin of their score; decoys
+    by the bin of theirs. At most some 600 bins a class, whatever the corpus."""
+    each = found.select(F.explode("tokens").alias("t")).select("t.*")
+    has = F.col("decoy").isNotNull()
+    one = F.struct(has.alias("has_decoy"), _bin(F.col("score")).alias("bin"), F.lit(1).alias("token"), F.lit(0).alias("decoy"))
+    other = F.struct(has.alias("has_decoy"), _bin(F.col("decoy")).alias("bin"), F.lit(0).alias("token"), F.lit(1).alias("decoy"))
+    return (
+        each.select("encoding", "length_class", F.explode(F.array(one, other)).alias("s"))
+        .filter("s.bin IS NOT NULL")
+        .groupBy("encoding", "length_class", "s.has_decoy", "s.bin")
         .agg(F.sum("s.token").alias("tokens"), F.sum("s.decoy").alias("decoys"))
     )
-    upto = Window.partitionBy("encoding", "length_class").orderBy("bin")
-    share = (F.sum("decoys").over(upto) + 1) / F.greatest(F.sum("tokens").over(upto), F.lit(1))
-    return (
-        counted.withColumn("share", share)
-        .filter(F.col("share") <= false_share)
-        .groupBy("encoding", "length_class")
-        .agg((F.max("bin") / 10).alias("bound"))
+
+
+def bounds(counted: list, false_share: float = FALSE_SHARE) -> dict[tuple[str, int, bool], int]:
+    """Per encoding, length class and has_decoy the least bin that is reported."""
+    decoys: dict = {}
+    for r in counted:
+        decoys.setdefault((r["encoding"], r["length_class"]), Counter())[r["bin"]] += r["decoys"]
+
+    def pooled(encoding: str, length_class: int) -> tuple[list[int], list[int]]:
+        """Bins of decoys in order, and how many decoys lie in each or above."""
+        for reach in range(len(LENGTHS)):
+            near = Counter()
+            for c in range(length_class - reach, length_class + reach + 1):
+                near.update(decoys.get((encoding, c), {}))
+            if near.total() >= FEW_DECOYS:
+                break
+        bins = sorted(b for b, n in near.items() if n)
+        above = list(accumulate(near[b] for b in reversed(bins)))[::-1] + [0]
+        return bins, above
+
+    tables = {key: pooled(*key) for key in decoys}
+    rows = []
+    for r in counted:
+        if not r["tokens"]:
+            continue
+        key, at = (r["encoding"], r["length_class"]), r["bin"]
+        theory = 10 ** (-at / BINS_PER_DECADE)
+        bins, above = tables[key]
+        # Bin 0 also has what is not random.
+        p = (above[bisect_left(bins, at)] + theory) / (above[0] + 1) if at else 1.0
+        rows.append((p if r["has_decoy"] else max(p, theory), (*key, r["has_decoy"]), at, r["tokens"]))
+
+    size, high = Counter(), Counter()
+    for p, key, _, n in rows:
+        size[key] += n
+        high[key] += n * (p > 0.5)
+    overall = min(1.0, 2 * (high.total() + 1) / max(size.total(), 1))
+    # The share of a class that is not random, and at least one token that is.
+    null = {
+        key: min((2 * high[key] + PRIOR * overall) / (n + PRIOR), 1 - 1 / (n + PRIOR)) for key, n in size.items()
+    }
+    budget = sum(n * (1 - null[key]) for key, n in size.items())
+    ranked = sorted(
+        (p * null[key] / (1 - null[key]), key, at, n) for p, key, at, n in rows if at and p <= false_share
     )
+    upto, cut = 0, -1
+    for i, (weighted, _, _, n) in enumerate(ranked):
+        upto += n
+        if weighted * budget <= false_share * upto:
+            cut = i
+    least: dict = {}
+    for _, key, at, _ in ranked[: cut + 1]:
+        least[key] = min(at, least.get(key, at))
+    return least
 
 
 # --- results ----------------------------------------------------------------
@@ -292,15 +403,17 @@ def secrets(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, base spans, their numbers, and ``spans`` with the
     added ones, all as (first, rank, end) in order; rank ``len(KINDS)`` is random."""
     found = step(scanned(docs), "secret-scan")
-    # One row per encoding and length class.
-    limits = {(r["encoding"], r["length_class"]): r["bound"] for r in bounds(found).collect()}
-    listed = list(limits.items())
+    # Some 600 rows per encoding, length class and has_decoy at most.
+    listed = list(bounds(counts(found).collect()).items())
 
     def within(t: Column) -> Column:
         ok = F.lit(False)
-        for (encoding, length_class), value in listed:
+        for (encoding, length_class, has_decoy), least in listed:
             ok = ok | (
-                (t["encoding"] == encoding) & (t["length_class"] == length_class) & (t["deviance"] <= float(value))
+                (t["encoding"] == encoding)
+                & (t["length_class"] == length_class)
+                & (t["decoy"].isNotNull() == has_decoy)
+                & (_bin(t["score"]) >= least)
             )
         return ok
 
