@@ -118,11 +118,16 @@ def _sets(batches):
 
 
 def class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The shingle sets of classes, from one document of each."""
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    asked = classes.select(F.col("member").alias("m"), "class")
+    """The shingle sets of classes, from one document of each: its doc_id and the
+    digest of its text, as NULL ids are many."""
+    text = F.col("text").cast("string")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("row_id"), text.alias("text"), F.md5(text_of(text)).alias("row_digest")
+    )
+    asked = classes.select("member.doc_id", "member.digest", "class")
+    same = (F.col("row_digest") == F.col("digest")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
     return (
-        texts.join(asked, texts["doc_id"].eqNullSafe(asked["m"]))
+        texts.join(asked, same)
         .select("class", "text")
         .mapInArrow(_sets, "class binary, shingles array<long>")
         .dropDuplicates(["class"])
@@ -210,7 +215,11 @@ def class_components(docs: DataFrame, drawn: DataFrame, threshold: int = THRESHO
     classes = (
         drawn.filter(F.col("class").isNotNull())
         .groupBy("class")
-        .agg(F.min("doc_id").alias("member"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        .agg(
+            F.min(F.struct("doc_id", "digest")).alias("member"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+        )
     )
     entries = classes.select("class", "member", "n", F.explode("bands").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")

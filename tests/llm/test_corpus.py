@@ -44,3 +44,18 @@ def test_blocks_link_at_the_bound_asked_for():
         }
     )
     assert minhash._linked_blocks(table, 80).num_rows == 1 and minhash._linked_blocks(table).num_rows == 0
+
+
+def test_rows_without_ids_meet_their_own_class_only(make, monkeypatch):
+    rows = [(None, changed(prose(800 + i, 120), k)) for i in range(6) for k in (0, 1)]
+    docs = make(rows)
+    read, plain = [], type(docs).mapInArrow
+
+    def counted(df, function, schema, *more):
+        if function is minhash._sets:
+            read.append(df.count())
+        return plain(df, function, schema, *more)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    assert minhash.near_duplicates(docs).select("component").distinct().count() == 6
+    assert read == [12]
