@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import bound, step, table
+from stationlake.llm.common import step, table
 
 _HOST = "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 _PATH = "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
@@ -36,12 +36,15 @@ def host_of(url: Column) -> Column:
 
 
 def url_keys(url: Column) -> Column:
-    """All patterns that would match a URL: host suffixes, then path prefixes."""
+    """All patterns that would match a URL: host suffixes, then path prefixes.
+
+    A host that ends with the dot of the root has the patterns with and without it.
+    """
 
     def keys(p: Column) -> Column:
         labels, parts = p["labels"], p["parts"]
         suffixes = F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+            F.sequence(F.lit(1), F.size(labels)),
             lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
         )
         prefixes = F.when(
@@ -51,14 +54,17 @@ def url_keys(url: Column) -> Column:
                 lambda i: F.concat(p["host"], F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")),
             ),
         ).otherwise(F.array().cast("array<string>"))
-        return F.concat(suffixes, prefixes)
+        return F.concat(F.filter(suffixes, lambda x: x != ""), prefixes)
 
     host = host_of(url)
+    bare = F.regexp_replace(host, "\\.$", "")
     parts = F.filter(F.split(F.regexp_extract(url, _PATH, 1), "/"), lambda x: x != "")
-    known = F.struct(
-        host.alias("host"), F.split(host, "\\.").alias("labels"), parts.alias("parts")
+    names = F.filter(F.array_distinct(F.array(bare, host)), lambda h: h != "")
+    known = F.transform(
+        names,
+        lambda h: F.struct(h.alias("host"), F.split(h, "\\.").alias("labels"), parts.alias("parts")),
     )
-    return F.when(host.isNotNull(), bound(known, keys)).otherwise(F.array().cast("array<string>"))
+    return F.when(host.isNotNull(), F.flatten(F.transform(known, keys))).otherwise(F.array().cast("array<string>"))
 
 
 def validity_intervals(entries: DataFrame) -> DataFrame:
