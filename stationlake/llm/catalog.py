@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stationlake.llm import fingerprints, line_dedup, minhash, mixing, packing, quality_ledger, repeats, secrets_scan, toxicity, url_lists
+from stationlake.llm import (
+    bpe_automaton,
+    fingerprints,
+    line_dedup,
+    merkle,
+    minhash,
+    mixing,
+    packing,
+    quality_ledger,
+    repeats,
+    secrets_scan,
+    token_alignment,
+    toxicity,
+    url_lists,
+)
 from stationlake.llm.common import documents, table
 
 
@@ -54,6 +68,22 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe_coding(spark, sf_dir):
+    return bpe_automaton.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.alignment(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_url_filters": op2_url_filters,
@@ -65,6 +95,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_toxicity": op10_toxicity,
+    "op11_bpe_coding": op11_bpe_coding,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
