@@ -255,6 +255,27 @@ _STATUS_COLUMNS = """station_id, num_bikes_available, num_ebikes_available, num_
 _NO_TEXT = "CAST(NULL AS VARCHAR)"
 
 
+# The same feed in three loads: rows land in order of their loads.
+_LOADS = {
+    "feed": f"""
+  SELECT * REPLACE (CASE WHEN load = 1 AND TRY_CAST(trim(station_id) AS BIGINT) % 5 = 0 THEN 'true'
+                         ELSE missing_station_information END AS missing_station_information)
+  FROM (SELECT *, CASE WHEN day <= 5 AND (arrival_pos // 2) % 10 = 7 THEN 3 WHEN day > 20 THEN 2
+                       ELSE 1 END AS load
+        FROM (SELECT *, CAST(source_file[12:13] AS INTEGER) AS day FROM ({_CTES["feed"]})))""",
+    "status_typed": _CTES["status_typed"].replace("SELECT arrival_pos,", "SELECT load, arrival_pos,"),
+    "bronze_status": _CTES["bronze_status"].replace("ORDER BY arrival_pos", "ORDER BY load, arrival_pos"),
+    "bronze_info": _CTES["bronze_info"].replace("ORDER BY arrival_pos", "ORDER BY load, arrival_pos"),
+}
+
+
+def _in_loads(select: str, last: int = 3) -> str:
+    """A query over what the first loads make."""
+    upto = {"feed": f"SELECT * FROM ({_LOADS['feed']}) WHERE load <= {last}"}
+    ctes = _CTES | _LOADS | upto
+    return "WITH " + ",\n".join(f"{n} AS ({sql})" for n, sql in ctes.items()) + "\n" + select
+
+
 def _bronze_status(mode: str) -> str:
     return _q(f"SELECT {_STATUS_COLUMNS}, '{mode}' AS source_mode, event_date FROM bronze_status")
 
@@ -442,6 +463,28 @@ FROM status_checked s WHERE NOT EXISTS (SELECT 1 FROM info i WHERE i.station_id
 WHERE station_status_last_reported >
   (SELECT max(station_status_last_reported) FROM bronze_status) - 7 * 86400"""
     ),
+    "silver_incremental_late": _in_loads("SELECT * EXCLUDE (violations) FROM status"),
+    "silver_orphans_resolved": f"""SELECT now.* FROM
+  ({_in_loads("SELECT * FROM status_checked WHERE violations LIKE '%station_unknown'", 1)}) was
+JOIN ({_in_loads("""SELECT station_id, station_status_last_reported, region_id,
+  CASE WHEN violations LIKE '%station_unknown' THEN 'waiting' WHEN violations <> '' THEN 'rejected'
+       ELSE 'accepted' END AS state FROM status_checked""", 2)}) now
+USING (station_id, station_status_last_reported)""",
+    "gold_station_summary_merged": _in_loads(
+        """SELECT * FROM summary_all
+WHERE (avg_utilization IS NULL OR avg_utilization BETWEEN 0 AND 1)
+  AND (avg_availability_pct IS NULL OR avg_availability_pct BETWEEN 0 AND 100)"""
+    ),
+    "load_counts_second_load": " UNION ALL ".join(
+        f"""SELECT {number} AS load, '{table}' AS table_name, n AS rows_loaded FROM
+  (SELECT ({_in_loads(f"SELECT count(*) FROM {source}", last)}) - ({_in_loads(f"SELECT count(*) FROM {source}", before)}) AS n)
+WHERE n > 0"""
+        for number, before, last in ((1, 0, 1), (2, 1, 3))
+        for table, source in (
+            ("bronze_station_status", "bronze_status"),
+            ("bronze_station_information", "bronze_info"),
+        )
+    ),
     "gold_daily_summary": _q(
         """SELECT f.*, d.* EXCLUDE (station_id) FROM (
   SELECT station_id, CAST(reported_at AS DATE) AS date,

@@ -6,12 +6,12 @@ The session comes from spark-submit's settings; nothing is configured here.
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 from stationlake import benchmark, schemas
-from stationlake.operators.ingest import sound_lines
+from stationlake.operators.ingest import fold_dead_letters, sound_lines
+from stationlake.plans.incremental import update_warehouse
 from stationlake.plans.pipeline import (
     Config,
     Lake,
@@ -67,6 +67,11 @@ def parser() -> argparse.ArgumentParser:
     )
     feed_options(build, lines=False)
 
+    update = command("update", "silver and gold of the dates that loads have touched since the last update")
+    feed_options(update, lines=False)
+
+    command("fold", "merge the files of dead letters")
+
     send = command("produce", "send CSV rows as messages below LAKE/topics")
     send.add_argument("paths", nargs="+")
     send.add_argument("--files", type=int)
@@ -110,7 +115,7 @@ def consume(spark: SparkSession, args, lake: Lake) -> None:
             "info": (streaming.start_info_stream, lake.info),
             "status": (streaming.start_status_stream, lake.status),
         }[args.what]
-        now |= {"epoch_unit": args.epoch_unit, "log": lake.log}
+        now |= {"epoch_unit": args.epoch_unit, "log": lake.log, "ledger": lake.ledger}
         query = start(source, target, checkpoint, lake.dlq, **now)
     try:
         streaming.drain(query)
@@ -152,7 +157,6 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(*(f"{name}: {path}" for name, path in outputs.items()), sep="\n")
     elif args.command == "load":
-        started = datetime.now(timezone.utc)
         print(
             load_batch(
                 spark,
@@ -163,7 +167,7 @@ def main(argv: list[str] | None = None) -> None:
                 multi_line=args.multi_line,
             )
         )
-        for row in loaded_by_file(spark, lake, started).toLocalIterator():
+        for row in loaded_by_file(spark, lake).toLocalIterator():
             print(*row)
     elif args.command == "warehouse":
         raw = since = None
@@ -172,6 +176,11 @@ def main(argv: list[str] | None = None) -> None:
             since = last_load(spark, lake)
         paths = build_warehouse(spark, lake, raw, args.epoch_unit, since)
         print(*paths.values(), sep="\n")
+    elif args.command == "update":
+        print(update_warehouse(spark, lake, args.epoch_unit))
+    elif args.command == "fold":
+        for topic in (None, TOPIC_STATUS, TOPIC_INFO):
+            print(topic, fold_dead_letters(spark, lake.dlq, topic))
     elif args.command == "produce":
         print(
             produce(

@@ -145,10 +145,10 @@ def log_row(
 @contextmanager
 def logged_run(spark: SparkSession, path: str, pipeline: str, layer: str):
     """Log a layer run: RUNNING at the start, SUCCESS or FAILED at the end. The
-    caller puts the row count into the dict it is given."""
+    caller puts the row count into the dict it is given, which has the run's id."""
     start = time.time()
     run_id = hashlib.sha256(f"{pipeline}|{layer}|{start!r}".encode()).hexdigest()
-    result = {"rows": 0}
+    result = {"rows": 0, "run_id": run_id}
 
     def log(*args):
         log_row(spark, run_id, pipeline, layer, *args).coalesce(1).write.mode("append").parquet(path)

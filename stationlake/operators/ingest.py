@@ -6,8 +6,9 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
+from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,7 +16,13 @@ from stationlake import schemas
 from stationlake.functions.predicates import all_present, has_info_strict
 from stationlake.functions.scalars import empty_to_null, epoch_to_date
 from stationlake.operators.firsts import first_wins, last_wins
-from stationlake.operators.insert import insert_ignore, replace_by_key, touched_dates
+from stationlake.operators.insert import (
+    Landed,
+    insert_ignore,
+    insert_new,
+    partition_values,
+    replace_by_key,
+)
 from stationlake.sources import layers
 
 MALFORMED = "message is not a JSON array of rows"
@@ -49,6 +56,14 @@ class Landing:
     sort: tuple[str, ...] = field(default=())
 
 
+class Note(Protocol):
+    """Who wants to know what an insert touches and adds; see ``operators/ledger``."""
+
+    def touched(self, landing: Landing, values: list | None) -> None: ...
+
+    def landed(self, landing: Landing, target: str, landed: Landed) -> None: ...
+
+
 STATUS = Landing(
     name="bronze_station_status",
     schema=schemas.BRONZE_STATUS,
@@ -329,29 +344,46 @@ def land(
     mode: str = "batch",
     on_bad: str = "quarantine",
     epoch_unit: str = "s",
+    note: Note | None = None,
 ) -> int:
     """Insert the new keys among raw rows into a bronze table; return how many."""
-    return land_projected(project(rows, landing, mode, on_bad), landing, target, mode, epoch_unit)
+    projected = project(rows, landing, mode, on_bad)
+    return land_projected(projected, landing, target, mode, epoch_unit, note)
 
 
 def land_projected(
-    projected: DataFrame, landing: Landing, target: str, mode: str, epoch_unit: str = "s"
+    projected: DataFrame,
+    landing: Landing,
+    target: str,
+    mode: str,
+    epoch_unit: str = "s",
+    note: Note | None = None,
 ) -> int:
     """As ``land``, for rows typed already. They are read twice when the table
-    has data (touched dates, then the rows), so pass stored or persisted ones."""
-    batch = None
-    if landing.partition_by and layers.exists(projected.sparkSession, target):
+    has data (touched dates, then the rows), so pass stored or persisted ones.
+
+    ``note`` is told of the touched partitions before the first row is written,
+    and of the files afterwards.
+    """
+    values = None
+    if landing.partition_by and (note or layers.exists(projected.sparkSession, target)):
         dated = complete(projected, landing, mode, epoch_unit)
-        batch = touched_dates(dated, landing.partition_by)
-    return insert_ignore(
+        values = partition_values(dated, landing.partition_by)
+    if note:
+        note.touched(landing, values)
+    landed = insert_new(
         complete(pick_rows(projected, landing), landing, mode, epoch_unit),
         target,
         landing.schema,
         landing.keys,
         landing.partition_by,
         landing.sort,
-        batch,
+        values,
+        list_files=note is not None,
     )
+    if note:
+        note.landed(landing, target, landed)
+    return landed.rows
 
 
 def land_latest(rows: DataFrame, landing: Landing, target: str, mode: str = "batch") -> str:
@@ -361,23 +393,43 @@ def land_latest(rows: DataFrame, landing: Landing, target: str, mode: str = "bat
     return replace_by_key(picked, target, landing.schema, landing.keys)
 
 
-NO_TOPIC = "__HIVE_DEFAULT_PARTITION__"
-_LETTERS = StructType(
-    [f for f in schemas.DEAD_LETTERS.fields if f.name != "source_topic"]
-).add("id_prefix", "string")
+_LETTERS = StructType([f for f in schemas.DEAD_LETTERS.fields if f.name != "source_topic"])
+LETTERS_A_FILE = 1_000_000
+
+
+def _letters_folder(target: str, topic: str | None) -> str:
+    return layers.partition_path(target, "source_topic", topic)
 
 
 def land_dead_letters(letters: DataFrame, target: str, topic: str | None = None) -> int:
     """Add new letters of one topic, or of files, to the table of all letters.
 
-    Letters lie by topic and by the first two digits of their id, so only the
-    folders that a batch touches are read, 256 at most, and each stream writes a
-    folder of its own.
+    Each topic has a folder that only its stream writes, so streams do not meet.
+    Ids are spread evenly over the tasks that write, each of which leaves one
+    file sorted by id; ``fold_dead_letters`` merges the files of many loads.
+    """
+    unique = first_wins(letters, ["dlq_id"], ["error_message"]).sortWithinPartitions("dlq_id")
+    return insert_ignore(unique, _letters_folder(target, topic), _LETTERS, ["dlq_id"])
+
+
+def fold_dead_letters(
+    spark: SparkSession, target: str, topic: str | None = None, rows_a_file: int = LETTERS_A_FILE
+) -> int:
+    """Rewrite a topic's letters as few files in order of their ids, so that
+    row groups hold narrow ranges of them; returns how many files there are.
+
+    The new files are added before the old ones go. A crash in between leaves
+    letters twice, never too few, and the next fold drops the copies, as it keeps
+    one letter of an id. Run it while the topic's stream rests.
     """
-    folder = f"{target}/source_topic={topic or NO_TOPIC}"
-    letters = letters.withColumn("id_prefix", F.substring("dlq_id", 1, 2))
-    batch = None
-    if layers.exists(letters.sparkSession, folder):
-        batch = touched_dates(letters, "id_prefix")
-    unique = first_wins(letters, ["dlq_id"], ["error_message"])
-    return insert_ignore(unique, folder, _LETTERS, ["dlq_id"], "id_prefix", ["dlq_id"], batch)
+    folder = _letters_folder(target, topic)
+    if not layers.exists(spark, folder):
+        return 0
+    old = layers.partition_files(spark, folder, None)
+    letters = spark.read.schema(_LETTERS).parquet(folder)
+    unique = first_wins(letters, ["dlq_id"], ["error_ts", "error_message"])
+    files = max(1, -(-letters.select("dlq_id").distinct().count() // rows_a_file))
+    unique.repartitionByRange(files, "dlq_id").sortWithinPartitions("dlq_id").write.mode("append").parquet(folder)
+    for path in old:
+        layers.remove(spark, path)
+    return len(layers.partition_files(spark, folder, None))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -10,27 +12,33 @@ from pyspark.sql.types import StructType
 
 from stationlake.sources import layers
 
-# Up to this many distinct dates are listed one by one; a batch that touches
-# more is pruned by its date range instead.
-MAX_LISTED_DATES = 400
 
+class Landed(NamedTuple):
+    """What an insert added: how many rows, and the files that hold them."""
 
-def touched_dates(rows: DataFrame, column: str) -> Column:
-    """A literal filter covering the dates of a batch.
+    rows: int
+    files: list[str]
+
+
+def partition_values(rows: DataFrame, column: str) -> list:
+    """The partitions that a batch touches, NULL among them.
 
-    One aggregate over one column. The dates are bounded by the partition rule
-    in ``epoch_to_date``; only they reach the driver.
+    One aggregate over one column. The values are bounded by the rule that made
+    the partitions (dates: ``epoch_to_date``); only they reach the driver.
     """
-    found = [r[column] for r in rows.select(column).distinct().collect()]
-    dates = sorted(d for d in found if d is not None)
-    test = F.lit(False)
-    if len(dates) > MAX_LISTED_DATES:
-        test = F.col(column).between(dates[0], dates[-1])
-    elif dates:
-        test = F.col(column).isin(dates)
-    if len(dates) < len(found):
-        test = test | F.col(column).isNull()
-    return test
+    return [r[column] for r in rows.select(column).distinct().collect()]
+
+
+def in_partitions(column: str, values: Sequence[date | None]) -> Column:
+    """A literal test on a partition column, so that no other is listed."""
+    present = sorted(v for v in values if v is not None)
+    test = F.col(column).isin(present) if present else F.lit(False)
+    return test | F.col(column).isNull() if len(present) < len(values) else test
+
+
+def touched_dates(rows: DataFrame, column: str) -> Column:
+    """A literal filter covering the dates of a batch."""
+    return in_partitions(column, partition_values(rows, column))
 
 
 def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,27 +52,32 @@ def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Dat
     return new.join(hits, list(keys), "left_anti")
 
 
-def insert_ignore(
+def insert_new(
     new: DataFrame,
     target: str,
     schema: StructType,
     keys: Sequence[str],
     partition_by: str | None = None,
     sort: Sequence[str] = (),
-    batch: Column | None = None,
-) -> int:
-    """Append the rows of ``new`` whose key the table lacks; return how many.
-
-    ``new`` must be unique by key. ``batch`` is the date filter of the batch
-    (see ``touched_dates``): with it only the touched partitions of the table
-    are read. A crash half way through is harmless, as the rows it
-    left behind are skipped on the next try. One writer per table.
+    values: Sequence | None = None,
+    list_files: bool = False,
+) -> Landed:
+    """Append the rows of ``new`` whose key the table lacks.
+
+    ``new`` must be unique by key. ``values`` are the partitions of the batch
+    (see ``partition_values``): with them only the touched partitions of the
+    table are read. A crash half way through is harmless, as the rows it left
+    behind are skipped on the next try. One writer per table. ``list_files``
+    asks for the files written, found by listing the touched partitions.
     """
     spark = new.sparkSession
+    before: set[str] = set()
     if layers.exists(spark, target):
         existing = layers.read_layer(spark, target, schema)
-        if batch is not None:
-            existing = existing.filter(batch)
+        if values is not None:
+            existing = existing.filter(in_partitions(partition_by, values))
+        if list_files:
+            before = set(layers.partition_files(spark, target, partition_by, values))
         new = absent_from(new, existing, keys)
     new = new.select(*schema.fieldNames())
     if partition_by:
@@ -74,7 +87,23 @@ def insert_ignore(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(target)
-    return landed.get.get("rows") or 0
+    files = []
+    if list_files:
+        files = sorted(set(layers.partition_files(spark, target, partition_by, values)) - before)
+    return Landed(landed.get.get("rows") or 0, files)
+
+
+def insert_ignore(
+    new: DataFrame,
+    target: str,
+    schema: StructType,
+    keys: Sequence[str],
+    partition_by: str | None = None,
+    sort: Sequence[str] = (),
+    values: Sequence | None = None,
+) -> int:
+    """As ``insert_new``; returns how many rows were added."""
+    return insert_new(new, target, schema, keys, partition_by, sort, values).rows
 
 
 def replace_by_key(new: DataFrame, target: str, schema: StructType, keys: Sequence[str]) -> str:

@@ -45,6 +45,19 @@ def _mean(column: str, scale: int = 1) -> Column:
     return exact_ratio(F.sum(column), F.count(column), 2, scale)
 
 
+def ratio_of_sums(top: str, bottom: str | Column, digits: int = 2, scale: int = 1) -> Column:
+    """A mean or share from sums that are stored already."""
+    bottom = F.col(bottom) if isinstance(bottom, str) else bottom
+    return exact_ratio(F.col(top), bottom, digits, scale)
+
+
+def summary_rules() -> dict[str, Column]:
+    return {
+        **between(0, 1, "avg_utilization"),
+        **between(0, 100, "avg_availability_pct", "pct_time_renting", "pct_time_installed"),
+    }
+
+
 def as_table(kept: DataFrame) -> DataFrame:
     """Declared numeric types plus the refresh time, for storing."""
     typed = {c: F.col(c).cast(t) for c, t in NUMERIC.items() if c in kept.columns}
@@ -126,13 +139,7 @@ def station_summary(status: DataFrame, info: DataFrame) -> DataFrame:
         "first_seen_ts",
         "last_seen_ts",
     )
-    return with_violations(
-        summary,
-        {
-            **between(0, 1, "avg_utilization"),
-            **between(0, 100, "avg_availability_pct", "pct_time_renting", "pct_time_installed"),
-        },
-    )
+    return with_violations(summary, summary_rules())
 
 
 def region_summary(availability: DataFrame) -> DataFrame:

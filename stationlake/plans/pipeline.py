@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.functions.scalars import BULK_NULLS, partition_date
-from stationlake.operators import control, quality
+from stationlake.operators import control, ledger, quality
 from stationlake.operators.ingest import (
     INFO,
     STATUS,
@@ -87,6 +87,10 @@ class Lake:
     def log(self) -> str:
         return self.at("control", "pipeline_log")
 
+    @property
+    def ledger(self) -> str:
+        return self.at("control", "load_ledger")
+
 
 @dataclass(frozen=True)
 class Config:
@@ -207,8 +211,9 @@ def load_batch(
 
     The text is parsed once, into a stage that each load replaces; status, info
     and dead letters then read only their columns from it. Under ``fail`` the
-    stage is checked for both tables before either is written. The run log gets
-    the load; ``loaded_by_file`` tells what it inserted.
+    stage is checked for both tables before either is written. The run log and
+    the ledger get the load (not with ``log=False``, for timing the load alone);
+    ``loaded_by_file`` tells what it inserted.
     """
     logged = control.logged_run(spark, lake.log, f"{NAME}_load", "BRONZE") if log else nullcontext({})
     with logged as run:
@@ -218,17 +223,23 @@ def load_batch(
         fault = first_fault(stage) if on_bad == "fail" else None
         if fault:
             raise ValueError(fault)
-        loaded = _land_stage(spark, stage, lake, on_bad, epoch_unit)
+        note = ledger.LoadNote(spark, lake.ledger, run["run_id"]) if log else None
+        loaded = _land_stage(spark, stage, lake, on_bad, epoch_unit, note)
         run["rows"] = loaded["status"] + loaded["info"]
     return loaded
 
 
 def _land_stage(
-    spark: SparkSession, stage: DataFrame, lake: Lake, on_bad: str, epoch_unit: str
+    spark: SparkSession,
+    stage: DataFrame,
+    lake: Lake,
+    on_bad: str,
+    epoch_unit: str,
+    note: ledger.LoadNote | None,
 ) -> dict[str, int]:
     jobs = {
-        "status": lambda: land(stage, STATUS, lake.status, "batch", on_bad, epoch_unit),
-        "info": lambda: land(stage, INFO, lake.info, "batch", on_bad, epoch_unit),
+        "status": lambda: land(stage, STATUS, lake.status, "batch", on_bad, epoch_unit, note),
+        "info": lambda: land(stage, INFO, lake.info, "batch", on_bad, epoch_unit, note),
     }
     if on_bad == "quarantine":
         jobs["dead_letters"] = lambda: land_dead_letters(dead_letters(stage), lake.dlq)
@@ -237,27 +248,29 @@ def _land_stage(
     return loaded
 
 
-def loaded_by_file(spark: SparkSession, lake: Lake, since: datetime) -> DataFrame:
-    """table, source_file, rows_loaded: what landed from a time on, as from the
-    start of a load, per file."""
-    found = None
-    for name, table in bronze_tables(spark, lake).items():
-        counts = control.load_counts(control.landed_since(table, since)).select(
-            F.lit(name).alias("table"), "source_file", "rows_loaded"
-        )
-        found = counts if found is None else found.unionByName(counts)
-    return found
+def loaded_by_file(spark: SparkSession, lake: Lake, run_id: str | None = None) -> DataFrame:
+    """table_name, source_file, rows_loaded of a load (default: the last), from
+    the ledger: the tables are not read."""
+    run_id = run_id or last_load_id(spark, lake)
+    counts = ledger.counts_by_file(ledger.read(spark, lake.ledger), run_id or "")
+    return counts.select("table_name", "source_file", "rows_loaded")
 
 
-def last_load(spark: SparkSession, lake: Lake) -> datetime | None:
-    """When the last batch load began, from the run log."""
-    if not layers.exists(spark, lake.log):
-        return None
-    log = layers.read_layer(spark, lake.log, schemas.RUN_LOG)
-    loads = log.filter(
+def _loads(spark: SparkSession, lake: Lake) -> DataFrame:
+    log = layers.read_or_empty(spark, lake.log, schemas.RUN_LOG)
+    return log.filter(
         (F.col("pipeline_name") == f"{NAME}_load") & (F.col("status") == "RUNNING")
     )
-    return loads.agg(F.max("run_ts")).first()[0]
+
+
+def last_load_id(spark: SparkSession, lake: Lake) -> str | None:
+    """The last batch load, from the run log."""
+    return _loads(spark, lake).agg(F.max_by("run_id", "run_ts")).first()[0]
+
+
+def last_load(spark: SparkSession, lake: Lake) -> datetime | None:
+    """When the last batch load began, from the run log."""
+    return _loads(spark, lake).agg(F.max("run_ts")).first()[0]
 
 
 def bronze_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:

@@ -114,8 +114,7 @@ BRONZE_INFO = struct(
     "station_information_last_updated BIGINT, missing_station_information STRING, "
     + PROVENANCE_COLUMNS
 )
-# One folder per topic, so that every stream writes a folder of its own, and per
-# start of the id below it.
+# One folder per topic, so that every stream writes a folder of its own.
 DEAD_LETTERS = struct(
     "dlq_id STRING, event_id STRING, source_topic STRING, partition_num INT, "
     "kafka_offset BIGINT, error_message STRING, error_ts TIMESTAMP, raw_payload STRING"
@@ -141,6 +140,12 @@ RUN_LOG = struct(
     "rows_processed BIGINT, error_message STRING, duration_sec DECIMAL(10,2)"
 )
 
+LEDGER = struct(
+    "run_id STRING, table_name STRING, state STRING, source_file STRING, event_date DATE, "
+    "rows_loaded BIGINT, noted_at TIMESTAMP"
+)
+BUILT_RUNS = struct("run_id STRING, built_at TIMESTAMP")
+
 MESSAGES = struct(
     "value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )

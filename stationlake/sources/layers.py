@@ -41,6 +41,47 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[str]:
     return sorted(f for f in found if f.endswith(suffix))
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_path(path: str, column: str, value) -> str:
+    """Folder of one value of a partition column."""
+    return f"{path}/{column}={NO_VALUE if value is None else value}"
+
+
+def partition_files(
+    spark: SparkSession, path: str, column: str | None, values: Sequence | None = None
+) -> list[str]:
+    """Data files of the given partitions (default: all), one level deep."""
+    folders = [path]
+    if column and values is None:
+        fs, hadoop_path = _path(spark, path)
+        found = [s.getPath().toString() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+        folders = [f for f in found if f"/{column}=" in f]
+    elif column:
+        folders = [partition_path(path, column, v) for v in values]
+    return [
+        f
+        for folder in folders
+        if exists(spark, folder)
+        for f in list_files(spark, folder, ".parquet")
+        if not f.rsplit("/", 1)[1].startswith(("_", "."))
+    ]
+
+
+def overwrite_partitions(
+    df: DataFrame, path: str, columns: Sequence[str], sort: Sequence[str] = ()
+) -> str:
+    """Write the partitions that ``df`` has rows for; all others stay.
+
+    The old files of a partition go when the new ones are complete, so a rerun
+    after a crash gives the same table.
+    """
+    writer = by_partition(df, columns, sort).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+    return path
+
+
 def by_partition(
     df: DataFrame, columns: Sequence[str], sort: Sequence[str] = ()
 ) -> DataFrame:

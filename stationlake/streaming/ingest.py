@@ -9,6 +9,7 @@ No state is kept; the table itself is the record of what was seen.
 from __future__ import annotations
 
 import time
+import uuid
 from contextlib import nullcontext
 
 from pyspark import StorageLevel
@@ -29,6 +30,7 @@ from stationlake.operators.ingest import (
     project,
     sort_messages,
 )
+from stationlake.operators.ledger import LoadNote
 from stationlake.functions.scalars import FEED_NULLS, normalize_nulls
 from stationlake.sources.messages import decode_messages
 
@@ -40,6 +42,7 @@ def land_messages(
     dlq: str,
     on_bad: str = "quarantine",
     epoch_unit: str = "s",
+    note: LoadNote | None = None,
 ) -> int:
     """Land one batch of messages in a bronze table and the dead letters.
 
@@ -64,7 +67,7 @@ def land_messages(
         if on_bad != "quarantine":
             good = project(good, landing, "stream", on_bad)
         landed = land_projected(
-            good.drop("error_message", "raw_payload"), landing, target, "stream", epoch_unit
+            good.drop("error_message", "raw_payload"), landing, target, "stream", epoch_unit, note
         )
         letters = ready.filter(F.col("error_message").isNotNull())
         if not letters.isEmpty():
@@ -85,12 +88,14 @@ def start_ingest_stream(
     interval: str = "5 seconds",
     epoch_unit: str = "s",
     log: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Start landing a message stream. ``available_now`` drains what is there
     and stops; otherwise a micro-batch runs per ``interval``.
 
     One writer per table; all streams share the table of dead letters, where
-    each has a folder of its own. With ``log`` every micro-batch is logged there.
+    each has a folder of its own. With ``log`` every micro-batch is logged there;
+    with ``ledger`` it is a load that an incremental build takes in.
     """
 
     def land_batch(batch: DataFrame, _batch_id: int) -> None:
@@ -100,7 +105,8 @@ def start_ingest_stream(
             else nullcontext({})
         )
         with logged as run:
-            run["rows"] = land_messages(batch, landing, target, dlq, on_bad, epoch_unit)
+            note = LoadNote(batch.sparkSession, ledger, uuid.uuid4().hex) if ledger else None
+            run["rows"] = land_messages(batch, landing, target, dlq, on_bad, epoch_unit, note)
 
     writer = messages.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -9,6 +9,7 @@ from stationlake.operators.ingest import (
     STATUS,
     bronze_rows,
     dead_letters,
+    fold_dead_letters,
     land,
     land_dead_letters,
     land_latest,
@@ -92,9 +93,7 @@ def test_late_and_odd_dates_are_still_compared(spark, raw, tmp_path):
     assert read(spark, target).filter("event_date IS NULL").count() == 2
 
 
-@pytest.mark.parametrize("listed_dates", [1, 400])
-def test_every_insert_strategy_agrees(spark, raw, tmp_path, monkeypatch, listed_dates):
-    monkeypatch.setattr(insert, "MAX_LISTED_DATES", listed_dates)
+def test_later_batches_meet_earlier_ones(spark, raw, tmp_path):
     target = str(tmp_path / "status")
 
     def batch(*days):
@@ -143,6 +142,24 @@ def test_dead_letters_say_why_and_come_once(spark, raw, tmp_path):
     assert read_count(spark, target) == 2
 
 
+def test_one_file_of_letters_per_task_and_few_after_folding(spark, raw, tmp_path):
+    target, many = str(tmp_path / "dlq"), 40
+    for load in range(3):
+        feed = raw(*({**BAD, "station_id": f"{load}-{i}"} for i in range(many)))
+        assert land_dead_letters(dead_letters(feed), target) == many
+    folder = layers.partition_path(target, "source_topic", None)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(layers.partition_files(spark, folder, None)) <= 3 * tasks
+    before = rows(layers.read_layer(spark, target, schemas.DEAD_LETTERS), "dlq_id", "raw_payload")
+    assert fold_dead_letters(spark, target) == 1
+    assert rows(layers.read_layer(spark, target, schemas.DEAD_LETTERS), "dlq_id", "raw_payload") == before
+    # A fold that crashed half way has left copies; the next one drops them.
+    spark.read.parquet(folder).limit(50).write.mode("append").parquet(folder)
+    assert fold_dead_letters(spark, target, rows_a_file=50) <= 3
+    assert rows(layers.read_layer(spark, target, schemas.DEAD_LETTERS), "dlq_id", "raw_payload") == before
+    assert fold_dead_letters(spark, str(tmp_path / "none")) == 0
+
+
 def read_count(spark, path):
     return layers.read_layer(spark, path, schemas.DEAD_LETTERS).count()
 
