@@ -124,7 +124,7 @@ def test_only_touched_dates_are_read(spark, lake, write_csv, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in text and "= 2023-11-15)" in text
     text = plan(incremental.read_status(spark, lake).filter(F.col("event_date") == touched))
     filters = text.split("PartitionFilters")[1].split("PushedFilters")[0]
-    assert "2023-11-15" in filters and "accepted" in filters
+    assert "(event_date" in filters and "= accepted)" in filters
 
 
 def test_partials_merge_in_any_order(spark, raw):
@@ -151,6 +151,6 @@ def test_counts_come_from_the_files_of_the_load(spark, lake, write_csv, tmp_path
     assert rows(counts, "table_name", "source_file", "rows_loaded") == [
         (INFO.name, "load-2.csv", 1), (STATUS.name, "load-2.csv", 2),
     ]
-    assert "/bronze/" not in plan(counts) and "load_ledger" in plan(counts)
+    assert counts.inputFiles() and all("/control/load_ledger/" in f for f in counts.inputFiles())
     every = ledger.counts_by_file(ledger.read(spark, lake.ledger))
     assert every.agg(F.sum("rows_loaded")).first()[0] == 4 + 3
