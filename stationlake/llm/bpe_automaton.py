@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -36,6 +37,14 @@ from pyspark.sql import functions as F
 
 # Fixed value: the split that the vocabulary file names by its pre-tokenizer.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The same for texts below LATIN_END, by plain lists of their letters, numbers
+# and white space, which is quicker.
+LATIN_END = "\u02b0"
+_LETTER, _NUMBER, _GAP = "A-Za-zªµºÀ-ÖØ-öø-ʯ", "0-9²³¹¼-¾", r"\t-\r \x85\xa0"
+LATIN_SPLIT = (
+    rf" ?[{_LETTER}]+|'(?:[stmd]|re|ve|ll)| ?[{_NUMBER}]+| ?[^{_GAP}{_LETTER}{_NUMBER}]+"
+    rf"|[{_GAP}]+(?![^{_GAP}])|[{_GAP}]+"
+)
 WORDS_HELD = 400_000
 LONGEST_HELD = 64
 _BYTES = 256
@@ -115,24 +124,20 @@ def build(labels: list[bytes], bases: list[int], merges: list[tuple[int, int, in
         if table.kind[u] < 0 or table.kind[v] < 0 or not table.may_follow(u, v):
             continue
         table.gadget(u, v, made)
-    steps, ends = {}, [-1]
+    steps: dict = {}
     for token, label in enumerate(labels):
         if table.kind[token] < 0:
             continue
-        node = 0
+        node = steps
         for byte in label:
-            node = steps.setdefault(node * _BYTES + byte, len(ends))
-            if node == len(ends):
-                ends.append(-1)
-        ends[node] = token
+            node = node.setdefault(byte, {})
+        place, bit = divmod(int(table.kind[token]), 8)
+        node[_BYTES] = (token, place, bit, int(table.state[token]), len(label))
     packed = np.packbits(table.bits[: table.states, : table.classes], axis=1, bitorder="little")
     return {
         "arcs": [row.tobytes() for row in packed],
-        "state": table.state.tolist(),
-        "kind": table.kind.tolist(),
         "labels": labels,
-        "steps": steps,
-        "ends": ends,
+        "steps": steps,  # by byte; a token's end has its arc under _BYTES
     }
 
 
@@ -178,14 +183,14 @@ class Automaton:
     """Encodes and decodes with the tables of ``build`` or ``read_vocabulary``."""
 
     def __init__(self, tables: dict, specials: bool = True, held: int = WORDS_HELD):
-        self.arcs, self.state, self.kind = tables["arcs"], tables["state"], tables["kind"]
-        self.labels, self.steps, self.ends = tables["labels"], tables["steps"], tables["ends"]
+        self.arcs, self.steps, self.labels = tables["arcs"], tables["steps"], tables["labels"]
+        self.longest = max(map(len, self.labels), default=0)
         self.file, self.held = tables.get("file"), held
         self.added = tables.get("added", {}) if specials else {}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
-        self.words = regex.compile(SPLIT).findall
+        self.words, self.latin_words = regex.compile(SPLIT).findall, re.compile(LATIN_SPLIT).findall
         self.known: dict[str, bytes] = {}
-        self.met = {chr(c) for c in range(128)}
+        self.met: set[str] = set()
         self._splitter = None
 
     def path(self, word: bytes) -> list[int]:
@@ -194,64 +199,62 @@ class Automaton:
         The longest arc is tried first. A position is left for good once no arc
         leads on from it: whatever path reaches it again would be the same one.
         """
-        n, arcs, kind, leads = len(word), self.arcs, self.kind, self.state
-        step, ends = self.steps.get, self.ends
-        found: list[int] = []
-        open_arcs: list[list[tuple[int, int]]] = []
+        n, arcs, longest = len(word), self.arcs, self.longest
+        found: list[tuple] = []
+        left: list[list[tuple]] = []  # arcs not tried yet, per arc found
         seen: set[int] = set()
         at = state = 0
         while at < n:
-            row, node, tried = arcs[state], 0, []
-            for end in range(at, n):
-                node = step(node * _BYTES + word[end])
+            row, node, tried = arcs[state], self.steps, []
+            for byte in word[at : at + longest]:
+                node = node.get(byte)
                 if node is None:
                     break
-                token = ends[node]
-                if token >= 0:
-                    k = kind[token]
-                    if row[k >> 3] >> (k & 7) & 1:
-                        tried.append((end + 1, token))
-            open_arcs.append(tried)
-            while True:
-                tried = open_arcs[-1]
-                if not tried:
-                    open_arcs.pop()
-                    found.pop()
-                    continue
-                at, token = tried.pop()
-                if at not in seen:
-                    break
+                arc = node.get(_BYTES)
+                if arc is not None and row[arc[1]] >> arc[2] & 1:
+                    tried.append(arc)
+            while not tried or at + tried[-1][4] in seen:
+                if tried:
+                    tried.pop()
+                else:
+                    at -= found.pop()[4]
+                    tried = left.pop()
+            arc = tried.pop()
+            left.append(tried)
+            found.append(arc)
+            at += arc[4]
             seen.add(at)
-            found.append(token)
-            state = leads[token]
-        return found
+            state = arc[3]
+        return [arc[0] for arc in found]
 
     def _split(self, text: str) -> list[str]:
         """Words of a text. Letters newer than the interpreter's Unicode tables
         are classed by the tokenizer itself, as its tables may be another year's."""
-        if not text.isascii():
-            new = set(text) - self.met
-            if new:
-                if any(unicodedata.category(c) == "Cn" for c in new):
-                    if self._splitter is None:
-                        from tokenizers import Tokenizer
-
-                        self._splitter = Tokenizer.from_str(self.file).pre_tokenizer
-                    return [text[a:b] for _, (a, b) in self._splitter.pre_tokenize_str(text)]
-                self.met |= new
+        if max(text, default="") < LATIN_END:
+            return self.latin_words(text)
+        new = set(text) - self.met
+        if new:
+            if any(unicodedata.category(c) == "Cn" for c in new):
+                if self._splitter is None:
+                    from tokenizers import Tokenizer
+
+                    self._splitter = Tokenizer.from_str(self.file).pre_tokenizer
+                return [text[a:b] for _, (a, b) in self._splitter.pre_tokenize_str(text)]
+            self.met |= new
         return self.words(text)
 
     def _plain(self, text: str) -> bytes:
         words, known = self._split(text), self.known
-        for word in set(words).difference(known):
-            found = np.array(self.path(word.encode()), "<u4").tobytes()
-            if len(word) <= LONGEST_HELD:
-                known[word] = found
+        new = set(words).difference(known)
+        for word in new:
+            known[word] = np.array(self.path(word.encode()), "<u4").tobytes()
+        found = b"".join(map(known.__getitem__, words))
+        for word in new:
+            if len(word) > LONGEST_HELD:
+                del known[word]
         if len(known) > self.held:
             self.known = {}
-        get = known.get
-        parts = (get(w) or np.array(self.path(w.encode()), "<u4").tobytes() for w in words)
-        return b"".join(parts)
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text, as unsigned 32-bit numbers."""
@@ -271,12 +274,13 @@ class Automaton:
 def _coded(tables):
     def run(batches):
         automaton = Automaton(tables.value)
+        names = [str(i) for i in range(len(automaton.labels))]
         for batch in batches:
             n, ids, decoded = [], [], []
             for text in batch["text"].to_pylist():
                 found = automaton.encode(text or "").tolist()
                 n.append(len(found))
-                ids.append(hashlib.sha256(",".join(map(str, found)).encode()).hexdigest())
+                ids.append(hashlib.sha256(",".join(map(names.__getitem__, found)).encode()).hexdigest())
                 back = automaton.decode(found).decode("utf-8", "replace")
                 decoded.append(hashlib.sha256(back.encode()).hexdigest())
             yield pa.record_batch(

@@ -70,6 +70,14 @@ def test_ids_equal_the_librarys(tables):
     assert plain.encode(ODD[3]).tolist() == library.encode(ODD[3], add_special_tokens=False).ids
 
 
+def test_latin_texts_are_split_as_others_are(tables):
+    library, automaton = Tokenizer.from_file(FILE), bpe.Automaton(tables)
+    for code in range(0x2C0):
+        text = f"a{chr(code)}1{chr(code)}! {chr(code)}{chr(code)} b'{chr(code)}"
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert automaton.encode(text).tolist() == ids, hex(code)
+
+
 def test_a_token_of_any_length_ends(tables):
     word = "".join(random.Random(1).choices("abcdefABCDEF0123+/", k=200_000))
     ids = bpe.Automaton(tables).encode(word).tolist()
