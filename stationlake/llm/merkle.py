@@ -343,11 +343,12 @@ def manifest(docs: DataFrame) -> DataFrame:
         ),
         "merkle-about",
     )
-    forget(*top, *([] if proofs is down else [proofs]), *trees[2:])
+    forget(*top, *([] if proofs is down else [proofs]))
     # A tree of one leaf has no slab above it: its leaf is the subroot.
     messages = about.select("tree", F.lit(0).cast("long").alias("number"), "proof")
     if len(trees) > 1:
         messages = _descend(trees, messages)
+        forget(*trees[1:])
     messages = messages.join(about.drop("proof"), "tree")
     slabs = _with_messages(leaves, messages, ["subroot", "place", "places"])
     return slabs.select(

@@ -104,6 +104,13 @@ def test_many_sources(spark):
     check(documents(spark, [(f"s{i:03}", 1 + i % 3) for i in range(300)]))
 
 
+def test_four_sweeps(spark):
+    n = 66_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('T ', id) AS text", "'en' AS lang", "'hot' AS source", "id AS n_chars")
+    small = spark.createDataFrame([(n, "x", "en", "small", 1)], docs.schema)
+    check(docs.unionByName(small))
+
+
 def test_odd_rows_and_clashes(make, odd_rows):
     check(make(odd_rows, clashes=True).selectExpr("*", "'x' AS tree", "1 AS number", "'y' AS digest", "2 AS slab"))
 
