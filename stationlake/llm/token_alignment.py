@@ -24,6 +24,7 @@ table are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -37,26 +38,55 @@ SPACE = "▁"
 HOT_SHARE = 50_000
 CHUNK_TOKENS = 200_000
 PROBES = 8
+RUNS_HELD = 400_000
+LONGEST_HELD = 64
+_RUNS = re.compile(" +[^ ]*")
 
 
 class Pieces:
-    """Ids and token bytes of a sentence-piece model that puts a space in front."""
+    """Ids and token bytes of a sentence-piece model that puts a space in front.
 
-    def __init__(self, model: bytes):
+    If no piece has a space after another letter, merges never reach across the
+    start of a run of spaces; texts are then encoded run by run, and short runs
+    seen before keep their ids in a bounded store. Other models take whole texts.
+    """
+
+    def __init__(self, model: bytes, held: int = RUNS_HELD):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        count = self.model.get_piece_size()
-        self.labels = [self._label(i, self.model.id_to_piece(i)) for i in range(count)]
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.labels = [self._label(i, p) for i, p in enumerate(pieces)]
         self.sizes = np.array([len(b) for b in self.labels], np.int64)
+        self.space = self.model.piece_to_id(SPACE)
+        self.by_run = not any(SPACE in p.lstrip(SPACE) for p in pieces) and self._keeps_spaces()
+        self.held = held
+        self.known: dict[str, bytes] = {}
 
     def _label(self, number: int, piece: str) -> bytes:
         if self.model.is_byte(number):
             return bytes([int(piece[3:-1], 16)])
         return piece.replace(SPACE, " ").encode()
 
+    def _keeps_spaces(self) -> bool:
+        text = "a  b   c "
+        return b"".join(self.labels[i] for i in self.model.encode(text)) == f" {text}".encode()
+
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, num_threads=1), "<u4")
+        # A text may have the mark for spaces itself, which starts no run.
+        if not self.by_run or SPACE in text:
+            return np.array(self.model.encode(text, num_threads=1), "<u4")
+        runs, known = _RUNS.findall(f" {text}"), self.known
+        new = list(set(runs).difference(known))
+        for run, ids in zip(new, self.model.encode([r[1:] for r in new], num_threads=1), strict=True):
+            known[run] = np.array(ids if run != " " else [self.space], "<u4").tobytes()
+        found = np.frombuffer(b"".join(map(known.__getitem__, runs)), "<u4")
+        for run in new:
+            if len(run) > LONGEST_HELD:
+                del known[run]
+        if len(known) > self.held:
+            self.known = {}
+        return found
 
 
 def shared_cuts(
@@ -174,13 +204,11 @@ def _aligned(tables, model):
         def both(text):
             if not text:
                 return None
-            a, b = first.encode(f" {text}"), second.encode(text)
-            whole = f" {text}".encode()
-            if first.decode(a.tolist()) != whole:
-                return None
-            if b"".join(map(second.labels.__getitem__, b.tolist())) != whole:
+            # Paths of the automaton spell their text; pieces may not.
+            b = second.encode(text)
+            if b"".join(map(second.labels.__getitem__, b.tolist())) != f" {text}".encode():
                 return None
-            return a, b
+            return first.encode(f" {text}"), b
 
         def chunks(texts):
             held, tokens = [], 0
