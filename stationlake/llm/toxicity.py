@@ -227,9 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAINING) -> Model |
     context = docs.sparkSession.sparkContext
     # At most about MAX_TRAINING rows of two numbers.
     chosen = F.broadcast(training_labels(labels, most))
-    training = docs.join(chosen, F.col("doc_id").cast("long") == F.col("labeled_id")).select(
-        F.col("text").cast("string").alias("text"), "toxic"
-    )
+    # Only these two columns of documents, whatever others are called.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    training = texts.join(chosen, F.col("doc_id") == F.col("labeled_id")).select("text", "toxic")
     sizes = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None

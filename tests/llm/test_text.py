@@ -381,6 +381,17 @@ def test_passages_are_where_the_words_are(make, labeled):
     assert part.startswith("vileword") and part.endswith("nastyword")
 
 
+def test_columns_named_like_the_labels_do_no_harm(labeled):
+    docs, labels = labeled
+    clashing = docs.selectExpr("*", "'x' AS labeled_id", "'y' AS toxic", "'z' AS quality", "1 AS score")
+    got = by_id(toxicity.toxicity(clashing, labels))
+    want = by_id(toxicity.toxicity(docs, labels))
+    assert {i: r.predicted for i, r in got.items()} == {i: r.predicted for i, r in want.items()}
+    kept = toxicity.without_toxic(clashing, labels)
+    assert kept.columns == clashing.columns
+    assert kept.count() == toxicity.without_toxic(docs, labels).count()
+
+
 def test_without_usable_labels_nothing_is_toxic(labeled):
     docs, labels = labeled
     assert {r.score for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
