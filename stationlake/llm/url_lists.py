@@ -92,14 +92,16 @@ def _month(time: Column) -> Column:
     return (F.year(time) * 12 + F.month(time)).cast("int")
 
 
-def interval_index(intervals: DataFrame, until: Column) -> DataFrame:
-    """(pattern, month, held): the intervals that touch a month, up to ``until``."""
-    last = _month(F.least(F.coalesce(F.col("valid_to"), until), until))
+def interval_index(intervals: DataFrame, months: list[int]) -> DataFrame:
+    """(pattern, month, held): the intervals that touch a month, for the given
+    months only, however long an interval stays open."""
     first = _month(F.col("valid_from"))
-    months = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    last = F.coalesce(_month(F.col("valid_to")), F.lit((1 << 31) - 1))
+    asked = F.array(*(F.lit(m) for m in months)).cast("array<int>")
+    touched = F.filter(asked, lambda m: (m >= first) & (m <= last))
     held = F.struct("list", "verdict", "valid_from", "valid_to")
     return (
-        intervals.select("pattern", F.explode(months).alias("month"), held.alias("held"))
+        intervals.select("pattern", F.explode(touched).alias("month"), held.alias("held"))
         .groupBy("pattern", "month")
         .agg(F.collect_list("held").alias("held"))
     )
@@ -109,10 +111,10 @@ def judged(captures: DataFrame, entries: DataFrame, id_column: str = "page_id")
     """id, url, fetched_at of every capture, with n_active, decision, decided_by."""
     own = [id_column, "url", "fetched_at"]
     asked = captures.select(*own)
-    newest = asked.agg(F.max("fetched_at").alias("t")).first()["t"]
-    index = step(
-        interval_index(validity_intervals(entries), F.lit(newest).cast("timestamp_ntz")), "list-index"
-    )
+    # The months that captures have: of the calendar, so never many.
+    found_months = asked.select(_month(F.col("fetched_at")).alias("m")).distinct().collect()
+    months = sorted(r["m"] for r in found_months if r["m"] is not None)
+    index = step(interval_index(validity_intervals(entries), months), "list-index")
     looked_up = asked.distinct().select(
         *own, F.explode(url_keys(F.col("url"))).alias("pattern"), _month(F.col("fetched_at")).alias("month")
     )
