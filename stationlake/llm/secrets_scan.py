@@ -36,6 +36,7 @@ document with its matches.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass
@@ -54,6 +55,7 @@ BINS_PER_DECADE = 20  # of theoretical p-values
 LEAST_P = 1e-30
 LEAST_TOKEN = 20
 TOKEN = f"[A-Za-z0-9+/_=-]{{{LEAST_TOKEN},}}"
+BLOCK = 128  # matches of a text that are worked on together
 CONTEXT = 4  # decoys are taken from so many times the token's length before it
 
 
@@ -107,43 +109,62 @@ EXCESS = {name: _excess(len(letters)) for name, letters in ALPHABETS.items()}
 LENGTHS = [24, 32, 48, 64, 96, 128, 1 << 30]
 
 
+def _in_blocks(items: Column, body) -> Column:
+    """``body(part)`` for every ``BLOCK`` items, as an array: work that grows with
+    the square of an array is done within small parts of it."""
+    last = F.greatest(F.ceil(F.size(items) / BLOCK).cast("int") - 1, F.lit(0))
+    starts = F.filter(F.sequence(F.lit(0), last), lambda i: i * BLOCK < F.size(items))
+    return F.transform(starts, lambda i: body(F.slice(items, i * BLOCK + 1, BLOCK)))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches: array of (first, end, value).
 
     The text between matches gives their places: it is what ``split`` returns.
+    Places are summed up within blocks, then blocks within the text.
     """
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    spans = "array<struct<first:int,end:int,value:string>>"
 
-    def placed(pair: Column) -> Column:
-        between, found = pair["between"], pair["found"]
-        return F.aggregate(
-            F.arrays_zip(
-                F.slice(between, 1, F.size(found)).alias("gap"),
-                found.alias("value"),
-            ),
-            F.struct(
-                F.lit(0).alias("at"),
-                F.array().cast("array<struct<first:int,end:int,value:string>>").alias("out"),
-            ),
+    def placed(part: Column) -> Column:
+        """How far a block reaches, and its matches as counted from its start."""
+
+        def add(acc: Column, x: Column) -> Column:
+            first = acc["at"] + F.length(x["gap"])
+            end = first + F.length(x["value"])
+            one = F.struct(first.alias("first"), end.alias("end"), x["value"].alias("value"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("out")), add)
+
+    def joined(blocks: Column) -> Column:
+        starts = F.aggregate(
+            blocks,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
             lambda acc, x: F.struct(
-                (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(x["gap"])).alias("first"),
-                            (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"),
-                            x["value"].alias("value"),
-                        )
-                    ),
-                ).alias("out"),
+                (acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")
             ),
             lambda acc: acc["out"],
         )
 
+        def moved(x: Column) -> Column:
+            at = x["start"]
+            return F.transform(
+                x["block"]["out"],
+                lambda m: F.struct(
+                    (at + m["first"]).alias("first"), (at + m["end"]).alias("end"), m["value"].alias("value")
+                ),
+            )
+
+        return F.flatten(F.transform(F.arrays_zip(starts.alias("start"), blocks.alias("block")), moved))
+
+    def with_gaps(both: Column) -> Column:
+        found = both["found"]
+        pairs = F.arrays_zip(F.slice(both["between"], 1, F.size(found)).alias("gap"), found.alias("value"))
+        return bound(bound(pairs, lambda items: _in_blocks(items, placed)), joined)
+
     both = F.struct(F.split(text, pattern, -1).alias("between"), values.alias("found"))
-    none = F.array().cast("array<struct<first:int,end:int,value:string>>")
-    return F.when(F.regexp_like(text, F.lit(pattern)), bound(both, placed)).otherwise(none)
+    return F.when(F.regexp_like(text, F.lit(pattern)), bound(both, with_gaps)).otherwise(F.array().cast(spans))
 
 
 def known_spans(text: Column, kind: Kind, rank: int) -> Column:
@@ -163,16 +184,27 @@ def known_spans(text: Column, kind: Kind, rank: int) -> Column:
 
 
 def _encoding(value: Column) -> Column:
-    """The name of the smallest alphabet that holds a token."""
-    bare = F.rtrim(value, F.lit("="))
+    """The name of the smallest alphabet that holds a token without its padding."""
     found = F.lit("mixed")
     for name, letters in reversed(list(ALPHABETS.items())[:-1]):
-        found = F.when(F.length(F.translate(bare, letters, "")) == 0, F.lit(name)).otherwise(found)
+        found = F.when(F.regexp_like(value, F.lit(f"^[{re.escape(letters)}]*$")), F.lit(name)).otherwise(found)
     return found
 
 
-def _letters(encoding: Column) -> Column:
-    pairs = (F.lit(x) for item in ALPHABETS.items() for x in item)
+def _alphabet(encoding: Column) -> Column:
+    """What the battery asks of an encoding: its ``letters``, the ``half`` each of
+    them lies in, its ``size``, and the letter that stands for each of a to z."""
+
+    def entry(letters: str) -> Column:
+        size = len(letters)
+        return F.struct(
+            F.lit(letters).alias("letters"),
+            F.lit("".join("01"[2 * i >= size] for i in range(size))).alias("half"),
+            F.lit(size).alias("size"),
+            F.lit("".join(letters[i % size] for i in range(26))).alias("a_to_z"),
+        )
+
+    pairs = (x for name, letters in ALPHABETS.items() for x in (F.lit(name), entry(letters)))
     return F.element_at(F.create_map(*pairs), encoding)
 
 
@@ -186,42 +218,76 @@ def _upper_tail(z: Column) -> Column:
     return F.greatest(1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z)), F.lit(1e-12))
 
 
+def _without(text: Column, part) -> Column:
+    """How many characters go with every ``part``."""
+    return F.length(text) - F.length(F.replace(text, part, F.lit("")))
+
+
 def deviance(token: Column) -> Column:
-    """Fisher's sum for a struct (symbols: numbers below size; size)."""
+    """Fisher's sum for a struct (value: letters of the alphabet; alphabet).
 
-    def battery(t: Column) -> Column:
-        x, k = t["symbols"], t["size"].cast("double")
-        n = F.size(x).cast("double")
-        counts = F.transform(
-            F.sequence(F.lit(0), t["size"] - 1), lambda s: F.size(F.filter(x, lambda v: v == s)).cast("double")
+    Time grows with the length: all moments come from one count per letter of
+    the alphabet, from two letters for the halves, and from one pass over
+    neighbours for their products.
+    """
+
+    def counted(t: Column) -> Column:
+        value, letters = t["value"], t["alphabet"]["letters"]
+        symbols = F.transform(F.split(value, ""), lambda c: F.instr(letters, c) - 1)
+
+        def neighbours(x: Column) -> Column:
+            products = F.zip_with(x, F.slice(x, 2, F.size(x) - 1), lambda a, b: a * b)
+            total = F.aggregate(products, F.lit(0.0), lambda a, v: a + F.coalesce(v, F.lit(0)))
+            return F.struct(
+                total.alias("products"), F.element_at(x, 1).alias("first"), F.element_at(x, -1).alias("last")
+            )
+
+        return F.struct(
+            F.length(value).cast("double").alias("n"),
+            t["alphabet"]["size"].cast("double").alias("k"),
+            F.transform(F.split(letters, ""), lambda s: _without(value, s).cast("double")).alias("counts"),
+            F.call_function("translate", value, letters, t["alphabet"]["half"]).alias("halves"),
+            bound(symbols, neighbours).alias("next"),
         )
-        squares = F.aggregate(counts, F.lit(0.0), lambda a, c: a + c * c)
-        chi = squares * k / n - n
+
+    def summed(t: Column) -> Column:
+        def total(of) -> Column:
+            return F.aggregate(F.transform(t["counts"], of), F.lit(0.0), lambda a, v: a + v)
+
+        # Neither "01" nor "10" overlaps itself, so what goes with them counts them.
+        changes = (_without(t["halves"], F.lit("01")) + _without(t["halves"], F.lit("10"))) / 2
+        return F.struct(
+            t["n"].alias("n"),
+            t["k"].alias("k"),
+            total(lambda c: c * c).alias("squares"),
+            total(lambda c, s: c * s).alias("total"),
+            total(lambda c, s: c * s * s).alias("power"),
+            _without(t["halves"], F.lit("1")).cast("double").alias("upper"),
+            changes.alias("changes"),
+            t["next"].alias("next"),
+        )
+
+    def battery(t: Column) -> Column:
+        n, k = t["n"], t["k"]
+        chi = t["squares"] * k / n - n
         # Wilson and Hilferty: the cube root of chi-squared over its freedom is near normal.
         free = k - 1
         uniform = _upper_tail((F.cbrt(chi / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free)))
 
-        upper = F.aggregate(x, F.lit(0.0), lambda a, v: a + F.when(2 * v >= t["size"], 1.0).otherwise(0.0))
-        pairs = F.zip_with(x, F.slice(x, 2, F.size(x) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        pairs = F.filter(pairs, lambda p: p["b"].isNotNull())
-        changes = F.aggregate(
-            pairs,
-            F.lit(0.0),
-            lambda a, p: a + F.when((2 * p["a"] >= t["size"]) != (2 * p["b"] >= t["size"]), 1.0).otherwise(0.0),
-        )
-        lower = n - upper
-        expected = 2 * upper * lower / n + 1
+        expected = 2 * t["upper"] * (n - t["upper"]) / n + 1
         spread = (expected - 1) * (expected - 2) / (n - 1)
-        runs = F.when(spread > 0, _normal_tail((changes + 1 - expected) / F.sqrt(spread))).otherwise(F.lit(1e-12))
+        runs = F.when(spread > 0, _normal_tail((t["changes"] + 1 - expected) / F.sqrt(spread))).otherwise(
+            F.lit(1e-12)
+        )
 
-        total = F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
-        mean = total / n
-        variance = F.aggregate(x, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
-        product = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
+        # Sums of (v - mean)^2 and of (a - mean)(b - mean) over neighbours, multiplied out.
+        mean, ends = t["total"] / n, t["next"]["first"] + t["next"]["last"]
+        variance = t["power"] - t["total"] * t["total"] / n
+        product = t["next"]["products"] - mean * (2 * t["total"] - ends) + (n - 1) * mean * mean
         serial = F.when(variance > 0, _normal_tail(product / variance * F.sqrt(n))).otherwise(F.lit(1e-12))
         return -2 * (F.log(uniform) + F.log(runs) + F.log(serial))
 
-    return bound(token, battery)
+    return bound(bound(bound(token, counted), summed), battery)
 
 
 def _score(found: Column, encoding: Column, length: Column, size: Column) -> Column:
@@ -259,16 +325,10 @@ def _score(found: Column, encoding: Column, length: Column, size: Column) -> Col
     )
 
 
-def _symbols(value: Column, letters: Column) -> Column:
-    return F.transform(F.split(value, ""), lambda c: F.instr(letters, c) - 1)
-
-
-def _decoy(around: Column, length: Column, size: Column) -> Column:
-    """The last letters of the text before a token, read in an alphabet of that size."""
+def _decoy(around: Column, length: Column, a_to_z: Column) -> Column:
+    """The last letters of the text before a token, as letters of its alphabet."""
     letters = F.regexp_replace(F.lower(around), "[^a-z]+", "")
-    return F.transform(
-        F.split(F.right(letters, length), ""), lambda c: F.pmod(F.ascii(c) - 97, size).cast("int")
-    )
+    return F.call_function("translate", F.right(letters, length), F.lit(ALPHABETS["lower"][:26]), a_to_z)
 
 
 def _length_class(length: Column) -> Column:
@@ -281,34 +341,52 @@ def _length_class(length: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Every long token: (first, end, encoding, length_class, score, decoy)."""
 
-    def tested(m: Column) -> Column:
-        encoding, length = _encoding(m["value"]), F.length(m["value"])
-        bare = F.rtrim(m["value"], F.lit("="))
+    def tested(m: Column, before: Column, start: Column) -> Column:
+        """A match, and the part of the text from ``start`` on that lies before it."""
 
         def parts(p: Column) -> Column:
-            letters = _letters(p["encoding"])
-            size = F.length(letters)
-            reach = CONTEXT * length
-            around = F.substring(text, F.greatest(m["first"] - reach, F.lit(0)) + 1, F.least(reach, m["first"]))
-            decoy = _decoy(around, F.length(p["bare"]), size)
-
-            def score(symbols: Column) -> Column:
-                found = deviance(F.struct(symbols.alias("symbols"), size.alias("size")))
-                return _score(found, p["encoding"], F.length(p["bare"]), size)
+            bare, length, alphabet = p["bare"], F.length(p["bare"]), p["alphabet"]
+            reach = CONTEXT * F.length(m["value"])
+            first = F.greatest(m["first"] - reach, F.lit(0))
+            around = F.substring(before, first - start + 1, m["first"] - first)
+
+            def score(value: Column) -> Column:
+                found = deviance(F.struct(value.alias("value"), alphabet.alias("alphabet")))
+                return _score(found, p["encoding"], length, alphabet["size"])
+
+            return bound(
+                _decoy(around, length, alphabet["a_to_z"]),
+                lambda decoy: F.struct(
+                    m["first"].alias("first"),
+                    m["end"].alias("end"),
+                    p["encoding"].alias("encoding"),
+                    _length_class(F.length(m["value"])).alias("length_class"),
+                    score(bare).alias("score"),
+                    F.when(F.length(decoy) >= length, score(decoy)).alias("decoy"),
+                ),
+            )
 
-            return F.struct(
-                m["first"].alias("first"),
-                m["end"].alias("end"),
-                p["encoding"].alias("encoding"),
-                _length_class(length).alias("length_class"),
-                score(_symbols(p["bare"], letters)).alias("score"),
-                F.when(F.size(decoy) >= F.length(p["bare"]), score(decoy)).alias("decoy"),
+        def encoded(bare: Column) -> Column:
+            return bound(
+                _encoding(bare),
+                lambda name: bound(
+                    F.struct(name.alias("encoding"), bare.alias("bare"), _alphabet(name).alias("alphabet")), parts
+                ),
             )
 
-        return bound(F.struct(encoding.alias("encoding"), bare.alias("bare")), parts)
+        return bound(F.rtrim(m["value"], F.lit("=")), encoded)
+
+    def block(part: Column) -> Column:
+        """The text before a block's tokens is cut out once: places in a long
+        text are found by counting from its start."""
+        reaches = F.transform(part, lambda m: m["first"] - CONTEXT * F.length(m["value"]))
+        start = F.greatest(F.array_min(reaches), F.lit(0))
+        end = F.element_at(part, -1)["first"]
+        cut = F.struct(start.alias("start"), F.substring(text, start + 1, end - start).alias("before"))
+        return bound(cut, lambda c: F.transform(part, lambda m: tested(m, c["before"], c["start"])))
 
     usable = F.filter(matches(text, TOKEN), lambda m: F.length(F.rtrim(m["value"], F.lit("="))) >= 8)
-    return F.transform(usable, tested)
+    return F.flatten(bound(usable, lambda found: _in_blocks(found, block)))
 
 
 def _bin(score: Column) -> Column:
@@ -391,11 +469,15 @@ def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, base (known spans) and tokens, for every document."""
     text = text_of(F.col("text").cast("string"))
     known = [known_spans(F.col("_text"), kind, i) for i, kind in enumerate(KINDS)]
-    return docs.select(F.col("doc_id").cast("long"), text.alias("_text")).select(
-        "doc_id",
-        F.array_sort(F.concat(*known)).alias("base"),
-        *(F.size(k).cast("long").alias(f"n_{kind.name}") for k, kind in zip(known, KINDS, strict=True)),
-        tokens(F.col("_text")).alias("tokens"),
+    found = docs.select(F.col("doc_id").cast("long"), text.alias("_text")).select(
+        "doc_id", F.array_sort(F.concat(*known)).alias("base"), tokens(F.col("_text")).alias("tokens")
+    )
+
+    def number(rank: int) -> Column:
+        return F.size(F.filter("base", lambda b: b["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id", "base", *(number(i).alias(f"n_{kind.name}") for i, kind in enumerate(KINDS)), "tokens"
     )
 
 
@@ -417,14 +499,24 @@ def secrets(docs: DataFrame) -> DataFrame:
             )
         return ok
 
-    def apart(t: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["first"] < t["end"]) & (t["first"] < b["end"]))
+    def added(part: Column) -> Column:
+        """The tokens of a block that are random and touch no known form."""
+        low, high = F.element_at(part, 1)["first"], F.element_at(part, -1)["end"]
+        near = F.filter("base", lambda b: (b["first"] < high) & (low < b["end"]))
 
-    added = F.transform(
-        F.filter("tokens", lambda t: within(t) & apart(t)),
-        lambda t: F.struct(t["first"].alias("first"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end")),
-    )
-    return found.withColumn("spans", F.array_sort(F.concat("base", added)))
+        def apart(known: Column) -> Column:
+            free = F.filter(
+                part, lambda t: ~F.exists(known, lambda b: (b["first"] < t["end"]) & (t["first"] < b["end"]))
+            )
+            return F.transform(
+                free,
+                lambda t: F.struct(t["first"].alias("first"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end")),
+            )
+
+        return bound(near, apart)
+
+    random = F.flatten(bound(F.filter("tokens", within), lambda found: _in_blocks(found, added)))
+    return found.withColumn("spans", F.array_sort(F.concat("base", random)))
 
 
 def _as_text(spans: Column) -> Column:
