@@ -114,7 +114,7 @@ def _in_blocks(items: Column, body) -> Column:
     the square of an array is done within small parts of it."""
     last = F.greatest(F.ceil(F.size(items) / BLOCK).cast("int") - 1, F.lit(0))
     starts = F.filter(F.sequence(F.lit(0), last), lambda i: i * BLOCK < F.size(items))
-    return F.transform(starts, lambda i: body(F.slice(items, i * BLOCK + 1, BLOCK)))
+    return F.transform(starts, lambda i: bound(F.slice(items, i * BLOCK + 1, BLOCK), body))
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -210,12 +210,11 @@ def _alphabet(encoding: Column) -> Column:
 
 def _normal_tail(z: Column) -> Column:
     """P(|Z| > |z|), by a logistic form that is within 0.0002."""
-    a = F.abs(z)
-    return F.greatest(2 / (1 + F.exp(1.5976 * a + 0.07056 * a * a * a)), F.lit(1e-12))
+    return bound(F.abs(z), lambda a: F.greatest(2 / (1 + F.exp(1.5976 * a + 0.07056 * a * a * a)), F.lit(1e-12)))
 
 
 def _upper_tail(z: Column) -> Column:
-    return F.greatest(1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z)), F.lit(1e-12))
+    return bound(z, lambda z: F.greatest(1 / (1 + F.exp(1.5976 * z + 0.07056 * z * z * z)), F.lit(1e-12)))
 
 
 def _without(text: Column, part) -> Column:
@@ -276,8 +275,11 @@ def deviance(token: Column) -> Column:
 
         expected = 2 * t["upper"] * (n - t["upper"]) / n + 1
         spread = (expected - 1) * (expected - 2) / (n - 1)
-        runs = F.when(spread > 0, _normal_tail((t["changes"] + 1 - expected) / F.sqrt(spread))).otherwise(
-            F.lit(1e-12)
+        runs = bound(
+            F.struct(expected.alias("expected"), spread.alias("spread")),
+            lambda r: F.when(
+                r["spread"] > 0, _normal_tail((t["changes"] + 1 - r["expected"]) / F.sqrt(r["spread"]))
+            ).otherwise(F.lit(1e-12)),
         )
 
         # Sums of (v - mean)^2 and of (a - mean)(b - mean) over neighbours, multiplied out.
@@ -306,12 +308,16 @@ def _score(found: Column, encoding: Column, length: Column, size: Column) -> Col
         a, b = 1.5976 / 0.07056, odds / 0.07056
         z = 2 * math.sqrt(a / 3) * F.sinh(F.asinh(3 * b / (2 * a) * math.sqrt(3 / a)) / 3)
         root = F.greatest(1 - 2 / (9 * free) + z * F.sqrt(2 / (9 * free)), F.lit(0.0))
-        most = free * root * root * root
         mean = free + v["n"] * v["excess"]
         freedom = mean * mean / (mean + v["n"] * v["excess"])
-        y = (F.cbrt(most / mean) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
-        low = 1 / (1 + F.exp(F.least(-(1.5976 * y + 0.07056 * y * y * y), F.lit(700.0))))
-        return F.when(random >= RANDOM_LEVEL, -F.log10(F.greatest(low, F.lit(LEAST_P)))).otherwise(0.0)
+
+        def low(r: Column) -> Column:
+            y = (F.cbrt(free * r * r * r / mean) - (1 - 2 / (9 * freedom))) / F.sqrt(2 / (9 * freedom))
+            return bound(
+                y, lambda y: 1 / (1 + F.exp(F.least(-(1.5976 * y + 0.07056 * y * y * y), F.lit(700.0))))
+            )
+
+        return F.when(random >= RANDOM_LEVEL, -F.log10(F.greatest(bound(root, low), F.lit(LEAST_P)))).otherwise(0.0)
 
     pairs = (F.lit(x) for item in EXCESS.items() for x in item)
     return bound(
@@ -354,15 +360,17 @@ def tokens(text: Column) -> Column:
                 found = deviance(F.struct(value.alias("value"), alphabet.alias("alphabet")))
                 return _score(found, p["encoding"], length, alphabet["size"])
 
+            both = F.array(bare, _decoy(around, length, alphabet["a_to_z"]))
+            scores = F.transform(both, lambda value: F.when(F.length(value) >= length, score(value)))
             return bound(
-                _decoy(around, length, alphabet["a_to_z"]),
-                lambda decoy: F.struct(
+                scores,
+                lambda got: F.struct(
                     m["first"].alias("first"),
                     m["end"].alias("end"),
                     p["encoding"].alias("encoding"),
                     _length_class(F.length(m["value"])).alias("length_class"),
-                    score(bare).alias("score"),
-                    F.when(F.length(decoy) >= length, score(decoy)).alias("decoy"),
+                    got[0].alias("score"),
+                    got[1].alias("decoy"),
                 ),
             )
 
