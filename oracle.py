@@ -423,6 +423,14 @@ UNION ALL SELECT 'stationlake_warehouse', 'GOLD', 'SUCCESS',
   + (SELECT count(*) FROM daily_all
      WHERE avg_utilization IS NULL OR avg_utilization BETWEEN 0 AND 1)"""
     ),
+    "pipeline_run_layers": _q(
+        """SELECT 'BRONZE' AS layer, 'SUCCESS' AS status, count(*) AS rows_processed, CAST(2 AS BIGINT) AS runs FROM feed
+UNION ALL SELECT 'SILVER', 'SUCCESS', (SELECT count(*) FROM fact) + (SELECT count(*) FROM dim), 2
+UNION ALL SELECT 'GOLD', 'SUCCESS',
+  (SELECT count(*) FROM (SELECT DISTINCT station_id, CAST(reported_at AS DATE) FROM fact))
+  + (SELECT count(*) FROM (SELECT DISTINCT station_id, CAST(reported_at AS DATE), hour(reported_at) FROM fact))
+  + (SELECT count(DISTINCT station_id) FROM fact), 2"""
+    ),
     "silver_parsed": _q("SELECT * FROM parsed"),
     "silver_status_fact": _q("SELECT * FROM fact"),
     "silver_station_dimension": _q("SELECT * FROM dim"),

@@ -13,11 +13,13 @@ from stationlake.operators import control, quality
 from stationlake.operators.ingest import INFO, STATUS, bronze_rows, dead_letters
 from stationlake.plans import gold, gold_sql, incremental, silver, silver_sql
 from stationlake.plans.pipeline import (
+    Config,
     Lake,
     build_warehouse,
     last_load,
     load_batch,
     loaded_by_file,
+    run_pipeline,
 )
 from stationlake.session import fresh_dir
 from stationlake.sources import layers, messages
@@ -199,6 +201,16 @@ def pipeline_log_states(spark, sf_dir):
     return control.runs(log).select("pipeline_name", "layer", "status", "rows_processed")
 
 
+def pipeline_run_layers(spark, sf_dir):
+    """The runner from CSV to gold, then again without force: what the log says of
+    each layer, whose second run found it complete and kept its rows."""
+    cfg = Config(Lake(fresh_dir(spark, "run")), csv=feed_csv(spark, sf_dir))
+    for _ in range(2):
+        run_pipeline(spark, cfg)
+    log = layers.read_layer(spark, cfg.lake.log, schemas.RUN_LOG)
+    return control.runs(log).groupBy("layer", "status", "rows_processed").agg(F.count(F.lit(1)).alias("runs"))
+
+
 # --- silver -----------------------------------------------------------------
 
 
@@ -527,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "bronze_dlq": bronze_dlq,
     "dlq_dedup": dlq_dedup,
     "pipeline_log_states": pipeline_log_states,
+    "pipeline_run_layers": pipeline_run_layers,
     "silver_parsed": silver_parsed,
     "silver_status_fact": silver_status_fact,
     "silver_station_dimension": silver_station_dimension,
