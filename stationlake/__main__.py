@@ -30,7 +30,7 @@ from stationlake.sources.messages import (
     stream_kafka,
     stream_message_dir,
 )
-from stationlake.streaming import ingest as streaming
+from stationlake.streaming import ingest as streaming, watch
 
 
 def parser() -> argparse.ArgumentParser:
@@ -85,6 +85,9 @@ def parser() -> argparse.ArgumentParser:
     consume.add_argument("--start", default="earliest", choices=("earliest", "latest"))
     feed_options(consume, lines=False)
     consume.add_argument("--until-empty", action="store_true", help="stop once drained")
+    consume.add_argument(
+        "--until-quiet", type=float, metavar="SECONDS", help="stop once no rows have come for so long"
+    )
 
     bench = command("bench", "time ingest of the same files")
     bench.add_argument("mode", choices=benchmark.MODES)
@@ -117,10 +120,10 @@ def consume(spark: SparkSession, args, lake: Lake) -> None:
         }[args.what]
         now |= {"epoch_unit": args.epoch_unit, "log": lake.log, "ledger": lake.ledger}
         query = start(source, target, checkpoint, lake.dlq, **now)
-    try:
-        streaming.drain(query)
-    except KeyboardInterrupt:
-        streaming.stop_gracefully(query)
+    with watch.stop_signals() as stop:
+        watch.wait(spark, query, quiet=args.until_quiet, stop=stop)
+    streaming.stop_gracefully(query)
+    watch.raise_failures(query)
 
 
 def bench(spark: SparkSession, args, lake: Lake) -> None:

@@ -18,6 +18,8 @@ from stationlake.sources import layers
 
 # Fixed value: rows per message.
 ROWS_PER_MESSAGE = 2000
+MESSAGES_A_FILE = 100
+BATCH_BYTES = 256 * 1024 * 1024
 
 _ROWS = T.ArrayType(schemas.RAW)
 
@@ -31,7 +33,10 @@ def route(rows: DataFrame) -> dict[str, DataFrame]:
 
 
 def encode_messages(
-    rows: DataFrame, rows_per_message: int = ROWS_PER_MESSAGE, ordered_partitions: int = 0
+    rows: DataFrame,
+    rows_per_message: int = ROWS_PER_MESSAGE,
+    ordered_partitions: int = 0,
+    position: str | None = None,
 ) -> DataFrame:
     """Pack raw rows into messages, for both topics at once.
 
@@ -42,15 +47,23 @@ def encode_messages(
     that do not care for order across partitions do; with ``ordered_partitions``
     the rows are first range-partitioned by arrival, so that (partition, offset)
     order is arrival order.
+
+    With ``position``, a column that counts the rows of the feed (it may leave
+    numbers out, and must not repeat them), a message is a stretch of
+    ``rows_per_message`` positions and all go to topic partition 0: sent again,
+    the same rows have the same place.
     """
     if ordered_partitions:
         rows = rows.repartitionByRange(ordered_partitions, *schemas.ARRIVAL)
         rows = rows.sortWithinPartitions(*schemas.ARRIVAL)
-    rows = normalize_nulls(rows.select(*schemas.RAW_COLUMNS), PRODUCER_NULLS)
     number = F.monotonically_increasing_id()
+    partition, row = F.shiftright(number, 33).cast("int"), number.bitwiseAND(F.lit((1 << 33) - 1))
+    if position:
+        partition, row = F.lit(0), F.col(position).cast("bigint")
+    rows = normalize_nulls(rows, PRODUCER_NULLS, schemas.RAW_COLUMNS)
     numbered = rows.select(
-        F.shiftright(number, 33).cast("int").alias("partition"),
-        number.bitwiseAND(F.lit((1 << 33) - 1)).alias("row"),
+        partition.alias("partition"),
+        row.alias("row"),
         F.struct(*schemas.RAW_COLUMNS).alias("data"),
     )
     chunks = numbered.groupBy(
@@ -107,11 +120,15 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def write_message_dir(messages: DataFrame, path: str) -> dict[str, str]:
+def write_message_dir(
+    messages: DataFrame, path: str, messages_a_file: int = MESSAGES_A_FILE
+) -> dict[str, str]:
     """Append messages to one directory per topic; return the directories.
 
     Offsets go on from the largest stored per topic and partition, so that a
     message's place is its own whatever was sent before. One producer at a time.
+    A file takes at most ``MESSAGES_A_FILE`` messages, so that a stream can cut
+    its micro-batches by size.
     """
     columns = schemas.MESSAGES.fieldNames()
     spark = messages.sparkSession
@@ -121,7 +138,8 @@ def write_message_dir(messages: DataFrame, path: str) -> dict[str, str]:
         messages = messages.join(ends, ["topic", "partition"], "left").withColumn(
             "offset", F.col("offset") + F.coalesce("from", F.lit(0))
         )
-    messages.select(*columns).write.mode("append").partitionBy("topic").parquet(path)
+    writer = messages.select(*columns).write.mode("append").partitionBy("topic")
+    writer.option("maxRecordsPerFile", messages_a_file).parquet(path)
     return {topic: f"{path}/topic={topic}" for topic in (TOPIC_STATUS, TOPIC_INFO)}
 
 
@@ -133,12 +151,19 @@ def read_message_dir(spark: SparkSession, directory: str, topic: str) -> DataFra
 
 
 def stream_message_dir(
-    spark: SparkSession, directory: str, topic: str, max_files: int | None = 1000
+    spark: SparkSession,
+    directory: str,
+    topic: str,
+    max_files: int | None = None,
+    max_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
-    """Stream a topic directory, at most ``max_files`` files per micro-batch."""
+    """Stream a topic directory. A micro-batch takes files up to ``max_bytes``,
+    and one at least, or ``max_files`` files where that is given instead."""
     reader = spark.readStream.schema(_STORED)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    else:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(directory).withColumn("topic", F.lit(topic))
 
 
