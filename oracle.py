@@ -288,14 +288,21 @@ def _bronze_info(mode: str) -> str:
     )
 
 
-_FAILED = """'bronze_station_status: num_bikes_available is not int: ' || num_bikes_available
-  AS error_message"""
+_COMPLAINT = "'bronze_station_status: num_bikes_available is not int: ' || num_bikes_available"
+_FAILED = f"{_COMPLAINT} AS error_message"
 # Status rows whose count of bikes is no number, per station.
 _UNFIT = f"""SELECT {_FAILED}, station_id, count(*) AS n FROM feed
   WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT NULL
     AND TRY_CAST(num_bikes_available AS INTEGER) IS NULL GROUP BY ALL"""
 
 
+# The feed as lines of CSV: fields of a row, and whether the line has been broken.
+_FIELDS = [f"coalesce({c}, '\\N')" for c in _RAW]
+_BROKEN = f"""SELECT *, CASE
+    WHEN arrival_pos % 89 = 1 THEN concat_ws(',', {', '.join(_FIELDS[:-1])})
+    WHEN arrival_pos % 83 = 2 THEN concat_ws(',', {', '.join(_FIELDS)}, 'extra') END AS broken
+  FROM feed"""
+
 # What changes in the metrics of a second, equal load: nothing of it landed.
 _SECOND = {
     "duplicate_rate": "100.0",
@@ -404,6 +411,10 @@ UNION ALL SELECT 'bronze_station_information', NULL, NULL, count(*) FROM bronze_
   num_bikes_available, missing_station_information
 FROM feed WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT NULL
   AND TRY_CAST(num_bikes_available AS INTEGER) IS NULL"""
+    ),
+    "bronze_dlq_malformed": _q(
+        f"""SELECT {_NO_TEXT} AS source_topic, 'line is not a CSV row of the feed''s columns' AS error_message,
+  broken AS raw_payload FROM ({_BROKEN}) WHERE broken IS NOT NULL"""
     ),
     "dlq_dedup": _q(
         f"""SELECT 'station-status' AS source_topic, error_message, station_id,
@@ -611,6 +622,27 @@ WHERE missing_station_information = 'false'"""
   1000 * station_status_last_reported AS station_status_last_reported)
 FROM ({_bronze_status("stream")})""",
     "stream_bronze_info": _bronze_info("stream"),
+    "produce_counts": _q(
+        f"""SELECT {_NO_TEXT} AS topic, CAST(NULL AS BIGINT) AS sent, count(broken) AS stored FROM ({_BROKEN})
+UNION ALL SELECT 'station-status', count(*), count(*) FROM ({_BROKEN}) WHERE broken IS NULL
+UNION ALL SELECT 'station-info', count(*), count(*) FROM ({_BROKEN})
+  WHERE broken IS NULL AND missing_station_information = 'false'"""
+    ),
+    "stream_bronze_dlq": _q(
+        f"""SELECT event_id, 'station-status' AS topic, CAST(0 AS INTEGER) AS partition_num,
+  CAST(kafka_offset AS BIGINT) AS kafka_offset, error_message, station_id, station_status_last_reported
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY error_message IS NULL, station_id, station_status_last_reported
+                               ORDER BY arrival_pos) AS n
+  FROM (
+    SELECT *, sha256('station-status|0|' || kafka_offset || '|' || place) AS event_id,
+      CASE WHEN TRY_CAST(num_bikes_available AS INTEGER) IS NULL THEN {_COMPLAINT} END AS error_message
+    FROM (
+      SELECT *, arrival_pos // 2000 AS kafka_offset,
+        row_number() OVER (PARTITION BY arrival_pos // 2000 ORDER BY arrival_pos) - 1 AS place FROM feed)
+    WHERE station_id IS NOT NULL AND station_status_last_reported IS NOT NULL))
+WHERE error_message IS NOT NULL OR n = 1"""
+    ),
     "stream_bronze_append": _q(f"SELECT {_RAW_LIST} FROM feed"),
     "stream_replay_idempotent": _bronze_status("stream"),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stationlake import schemas
 from stationlake.operators import control, quality
-from stationlake.operators.ingest import INFO, STATUS, bronze_rows, dead_letters
+from stationlake.operators.ingest import INFO, MALFORMED_LINE, STATUS, bronze_rows, dead_letters
 from stationlake.plans import gold, gold_sql, incremental, silver, silver_sql
 from stationlake.plans.pipeline import (
     Config,
@@ -19,6 +19,7 @@ from stationlake.plans.pipeline import (
     last_load,
     load_batch,
     loaded_by_file,
+    produce,
     run_pipeline,
 )
 from stationlake.session import fresh_dir
@@ -193,6 +194,95 @@ def dlq_dedup(spark, sf_dir):
     )
 
 
+def _broken_csv(spark, sf_dir) -> str:
+    """The feed as CSV files in which some lines lack their last field and some
+    have one too many."""
+    fields = [F.coalesce(F.col(c), F.lit(r"\N")) for c in schemas.RAW_COLUMNS]
+    line = (
+        F.when(F.col("arrival_pos") % 89 == 1, F.concat_ws(",", *fields[:-1]))
+        .when(F.col("arrival_pos") % 83 == 2, F.concat_ws(",", *fields, F.lit("extra")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    path = fresh_dir(spark, "broken")
+    # One column named as the header, so that every file begins with it.
+    (
+        derived_feed(spark, sf_dir)
+        .select(line.alias(",".join(schemas.RAW_COLUMNS)))
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("sep", "\x01")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+    return path
+
+
+def bronze_dlq_malformed(spark, sf_dir):
+    """Lines that are no rows, as the dead letters have them after a load and a
+    second load of the same files, which adds none."""
+    lake, path = Lake(fresh_dir(spark, "lake")), _broken_csv(spark, sf_dir)
+    for _ in range(2):
+        load_batch(spark, path, lake)
+    letters = layers.read_layer(spark, lake.dlq, schemas.DEAD_LETTERS)
+    return letters.filter(F.col("error_message") == MALFORMED_LINE).select(
+        "source_topic", "error_message", "raw_payload"
+    )
+
+
+def stream_bronze_dlq(spark, sf_dir):
+    """Letters and landed rows of the status topic with the message that each
+    came in: event id, topic, partition and offset."""
+    root = fresh_dir(spark, "stream-letters")
+    packed = messages.encode_messages(derived_feed(spark, sf_dir), position="arrival_pos")
+    topics = messages.write_message_dir(packed, f"{root}/topics")
+    source = messages.stream_message_dir(
+        spark, topics[messages.TOPIC_STATUS], messages.TOPIC_STATUS
+    )
+    query = streaming.start_status_stream(
+        source, f"{root}/table", f"{root}/checkpoint", f"{root}/dlq", available_now=True
+    )
+    streaming.drain(query)
+    letters = layers.read_layer(spark, f"{root}/dlq", schemas.DEAD_LETTERS).select(
+        "event_id",
+        F.col("source_topic").alias("topic"),
+        "partition_num",
+        "kafka_offset",
+        "error_message",
+        _payload("station_id"),
+        _payload("station_status_last_reported"),
+    )
+    landed = layers.read_layer(spark, f"{root}/table", STATUS.schema).select(
+        "event_id",
+        F.col("kafka_topic").alias("topic"),
+        F.col("kafka_partition").alias("partition_num"),
+        "kafka_offset",
+        F.lit(None).cast("string").alias("error_message"),
+        "station_id",
+        F.col("station_status_last_reported").cast("string"),
+    )
+    return letters.unionByName(landed)
+
+
+def produce_counts(spark, sf_dir):
+    """Rows that the producer says it sent and that lie in the topics, and (without
+    a topic) the lines it refused, for CSV files some of whose lines are no rows."""
+    root = fresh_dir(spark, "produced")
+    sent = produce(spark, _broken_csv(spark, sf_dir), f"{root}/topics", dlq=f"{root}/dlq")
+    letters = layers.read_layer(spark, f"{root}/dlq", schemas.DEAD_LETTERS)
+    found = letters.agg(
+        F.lit(None).cast("string").alias("topic"),
+        F.lit(None).cast("bigint").alias("sent"),
+        F.count(F.lit(1)).alias("stored"),
+    )
+    for key, topic in (("status", messages.TOPIC_STATUS), ("info", messages.TOPIC_INFO)):
+        lying = messages.read_message_dir(spark, f"{root}/topics/topic={topic}", topic)
+        rows = messages.decode_messages(lying).agg(F.count(F.lit(1)).alias("stored"))
+        rows = rows.select(F.lit(topic).alias("topic"), F.lit(sent[key]).cast("bigint").alias("sent"), "stored")
+        found = found.unionByName(rows)
+    return found
+
+
 def pipeline_log_states(spark, sf_dir):
     """What the run log says after a batch load and a warehouse build."""
     lake = _loaded(spark, sf_dir)
@@ -537,6 +627,7 @@ QUERIES: dict[str, Query] = {
     "load_counts_by_file": load_counts_by_file,
     "watermark_refresh": watermark_refresh,
     "bronze_dlq": bronze_dlq,
+    "bronze_dlq_malformed": bronze_dlq_malformed,
     "dlq_dedup": dlq_dedup,
     "pipeline_log_states": pipeline_log_states,
     "pipeline_run_layers": pipeline_run_layers,
@@ -565,6 +656,8 @@ QUERIES: dict[str, Query] = {
     "gold_bounds_violations": gold_bounds_violations,
     "route_topics": route_topics,
     "produce_status_messages": produce_status_messages,
+    "produce_counts": produce_counts,
+    "stream_bronze_dlq": stream_bronze_dlq,
     "stream_bronze_status": stream_bronze_status,
     "stream_bronze_status_ms": stream_bronze_status_ms,
     "stream_bronze_info": stream_bronze_info,
