@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from llm_text import by_id, make, odd_rows, plan, words  # noqa: F401
 
 from stationlake.llm import catalog, mixing, quality_ledger, secrets_scan, url_lists
@@ -121,6 +122,38 @@ def test_mix_matches_sql_on_odd_rows(make, odd_rows):
     assert got == want
 
 
+def test_documents_are_taken_as_often_as_they_are_wanted(make):
+    """500 draws of the same 60 documents: 500 sources of one weight."""
+    draws, lengths = 500, [1 + (i * i) % 97 for i in range(60)]
+    docs = make(
+        [(seed * 100 + i, " ".join(["w"] * n)) for seed in range(draws) for i, n in enumerate(lengths)]
+    ).withColumn("source", F.floor(F.col("doc_id") / 100).cast("string"))
+    sizes = mixing.sized(docs, ["doc_id", "source"])
+    plan = mixing.mixing_plan(sizes, weights=(1.0,))
+    taken = mixing.allot(sizes, plan)
+    assert {r["target"] for r in plan.select("target").distinct().collect()} == {float(sum(lengths))}
+    digits = [n.bit_length() for n in lengths]
+    # No class reaches the cap, so one rate meets the target.
+    rate = sum(lengths) / sum(n * b for n, b in zip(lengths, digits))
+    assert rate * max(digits) < mixing.CAP
+    counts = {
+        r["i"]: r["copies"]
+        for r in taken.groupBy((F.col("doc_id") % 100).alias("i")).agg(F.sum("copies").alias("copies")).collect()
+    }
+    for i, (n, b) in enumerate(zip(lengths, digits)):
+        wanted = rate * b
+        p = wanted - int(wanted)
+        error = (p * (1 - p) / draws) ** 0.5
+        assert abs(counts[i] / draws - wanted) <= 3 * error, (i, n, counts[i] / draws, wanted, error)
+
+
+def test_sources_that_fill_up_alike_share_by_weight(make):
+    docs = make([(i, "a b c") for i in range(12)]).withColumn("source", F.concat(F.lit("s"), F.col("doc_id") % 4))
+    got = {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    # 36 words over weights 5, 2, 1, 5: none is above three times its 9.
+    assert got == {f"s{i}": pytest.approx(36 * w / 13) for i, w in enumerate((5, 2, 1, 5))}
+
+
 def test_mix_comes_near_its_targets(make):
     rows = [(i, "w " * (i % 40 + 1)) for i in range(600)]
     docs = make(rows, clashes=True)
