@@ -22,6 +22,7 @@ from stationlake.operators.insert import (
     insert_new,
     partition_values,
     replace_by_key,
+    touched_by,
 )
 from stationlake.sources import layers
 
@@ -365,10 +366,14 @@ def land_projected(
     ``note`` is told of the touched partitions before the first row is written,
     and of the files afterwards.
     """
-    values = None
-    if landing.partition_by and (note or layers.exists(projected.sparkSession, target)):
+    values = ranges = None
+    there = layers.exists(projected.sparkSession, target)
+    if landing.partition_by and (note or there):
         dated = complete(projected, landing, mode, epoch_unit)
-        values = partition_values(dated, landing.partition_by)
+        if there:
+            values, ranges = touched_by(dated, landing.partition_by, landing.sort[0])
+        else:
+            values = partition_values(dated, landing.partition_by)
     if note:
         note.touched(landing, values)
     landed = insert_new(
@@ -380,6 +385,7 @@ def land_projected(
         landing.sort,
         values,
         list_files=note is not None,
+        ranges=ranges,
     )
     if note:
         note.landed(landing, target, landed)
