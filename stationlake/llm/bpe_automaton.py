@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pickle
 import re
 import unicodedata
 
@@ -145,7 +146,11 @@ def read_vocabulary(path: str) -> dict:
     """Tables of a byte-level BPE vocabulary file. Files with parts that this
     automaton does not know are refused rather than read wrongly."""
     with open(path, encoding="utf-8") as file:
-        text = file.read()
+        return vocabulary_tables(file.read(), path)
+
+
+def vocabulary_tables(text: str, path: str = "vocabulary") -> dict:
+    """The tables of ``read_vocabulary`` from the text of the file."""
     read = json.loads(text)
     model, before = read["model"], read["pre_tokenizer"] or {}
     odd = [
@@ -311,10 +316,40 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
+class _Shipped:
+    """The tables, pickled and broadcast; each process unpickles them once."""
+
+    def __init__(self, blob, key: str):
+        self.blob, self.key = blob, key
+
+    @property
+    def value(self) -> dict:
+        key = self.key
+        if key not in _BUILT:
+            _BUILT.clear()
+            _BUILT[key] = pickle.loads(self.blob.value)
+        return _BUILT[key]
+
+
+_BUILT: dict[str, dict] = {}
+
+
 def shipped(docs: DataFrame, vocabulary: str):
     """The tables for all executors. They are as large as the vocabulary, some
-    tens of MB, whatever the corpus; the file is read by the driver alone."""
-    return docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    tens of MB pickled, whatever the corpus. The driver reads the file and
+    broadcasts its text; one task builds the tables, hundreds of MB of Python
+    objects, so the driver only holds them pickled."""
+    with open(vocabulary, encoding="utf-8") as file:
+        text = file.read()
+    context = docs.sparkSession.sparkContext
+    source = context.broadcast(text)
+
+    def build_once(_):
+        yield pickle.dumps(vocabulary_tables(source.value, vocabulary), protocol=pickle.HIGHEST_PROTOCOL)
+
+    (blob,) = context.parallelize([0], 1).mapPartitions(build_once).collect()
+    source.destroy()
+    return _Shipped(context.broadcast(blob), hashlib.sha256(blob).hexdigest())
 
 
 def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:

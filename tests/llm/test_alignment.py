@@ -129,3 +129,19 @@ def test_a_long_stretch_without_cuts_is_one_leaf():
     b = np.r_[np.arange(2, n, 2), n]
     x, y = shared_cuts(a, b, np.array([0, len(a)]), np.array([0, len(b)]))
     assert a[x].tolist() == [n] and b[y].tolist() == [n]
+
+
+def test_driver_builds_no_tables(make, monkeypatch):
+    """The vocabulary's tables, hundreds of MB of Python objects, are built by
+    the executors; the driver only reads and broadcasts the file's text."""
+
+    built, build = [], bpe_automaton.build
+
+    def counted(*args, **kwargs):
+        built.append(1)  # in the process that builds
+        return build(*args, **kwargs)
+
+    monkeypatch.setattr(bpe_automaton, "build", counted)
+    got = columns(alignment(make([(1, "a plain text"), (2, None)]), A_FILE, B_FILE))
+    assert [r[0] for r in got] == [1, 2] and got[0][1] > 0
+    assert built == []
